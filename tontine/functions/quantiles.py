@@ -92,7 +92,7 @@ def distribution(
             (F.col("want.rank") - F.col("from__")).alias("rank__"),
         )
     )
-    bins = wanted.select(*[f"{k}__w" for k in keys], "bin____w").distinct()
+    bins = wanted.select(*[f"{k}__w" for k in keys], "bin____w")
     bin_keys = [*keys, "bin__"]
     if bins.count() <= broadcast_rows:
         bins = F.broadcast(bins)

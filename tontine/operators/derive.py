@@ -50,25 +50,22 @@ def quarter_end(date) -> Column:
 def contract_groups(claims: DataFrame) -> DataFrame:
     """Claims per line, geography and accident year, with distinct policies.
 
-    Going through one row per policy makes the distinct count a plain count, spreads a
-    group that holds a large share of all claims over its policies, and reuses the
-    partitioning of claims that were joined on the policy.
+    The one distinct count runs over rows already combined per policy, so a group with a
+    large share of all claims is spread over its policies, and claims that were joined on
+    the policy keep that partitioning. Where the count is not used, it is pruned and the
+    groups are summed directly.
     """
-    keys = [F.col("line_of_business"), F.col("geography"), F.col("accident_year").alias("cohort_year")]
     amounts = {
         "incurred_amount": "total_incurred",
         "paid_amount": "total_paid",
         "outstanding_reserve": "total_outstanding",
     }
-    per_policy = claims.groupBy(*keys, "policy_id").agg(
-        F.count(F.lit(1)).alias("claim_count"), *[F.sum(c).alias(name) for c, name in amounts.items()]
-    )
     return (
-        per_policy.groupBy(*GROUP_KEYS)
+        claims.groupBy("line_of_business", "geography", F.col("accident_year").alias("cohort_year"))
         .agg(
-            F.count(F.lit(1)).alias("policy_count"),
-            F.sum("claim_count").alias("claim_count"),
-            *[F.sum(name).cast(MONEY).alias(name) for name in amounts.values()],
+            F.count_distinct("policy_id").alias("policy_count"),
+            F.count(F.lit(1)).alias("claim_count"),
+            *[F.sum(c).cast(MONEY).alias(name) for c, name in amounts.items()],
         )
         .withColumn("contract_group_id", F.concat_ws("_", *GROUP_KEYS))
     )

@@ -118,6 +118,15 @@ def selected_factor(month, steps=A.DEVELOPMENT_FACTORS, tail=A.DEVELOPMENT_TAIL)
     return dbl(banded(month, [(last + 1, factor) for last, factor in steps], tail))
 
 
+def _projectable(claims: DataFrame, min_accident_year: int) -> DataFrame:
+    """Cells that have a month and an amount. Both uses of them in a projection need both
+    columns, so the aggregation runs once and its exchange is reused."""
+    triangle_cells = cells(claims, ["accident_year", "development_month"], min_accident_year)
+    return triangle_cells.where(
+        F.col("development_month").isNotNull() & F.col("cumulative_paid").isNotNull()
+    )
+
+
 def _months(triangle_cells: DataFrame) -> DataFrame:
     """One row holding the (short) list of months with factor and number of years."""
     return (
@@ -138,7 +147,7 @@ def chain_ladder_literal(
     alone, so it is worked out once per month (at most a few hundred rows, whatever the
     number of claims) and joined to the cells.
     """
-    triangle_cells = cells(claims, ["accident_year", "development_month"], min_accident_year)
+    triangle_cells = _projectable(claims, min_accident_year)
     month = F.col("m.development_month")
     repeated = F.flatten(
         F.transform(
@@ -176,7 +185,7 @@ def chain_ladder(claims: DataFrame, *, as_of=None, min_accident_year: int = 2020
     """Textbook projection of what is reported so far: the latest cell of an accident year
     times the factors of all later months that occur in the triangle (Mack 1993)."""
     known = claims.where(F.col("report_date") <= as_date(as_of))
-    triangle_cells = cells(known, ["accident_year", "development_month"], min_accident_year)
+    triangle_cells = _projectable(known, min_accident_year)
     month = F.col("m.development_month")
     later = F.filter("months", lambda x: x["development_month"] > month)
     to_ultimate = (

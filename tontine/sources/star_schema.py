@@ -38,13 +38,21 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def source_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # A pattern, because a streaming source takes a plain path to be a folder.
-    return spark.readStream.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.{{parquet}}")
+# The source amounts are doubles with two decimals. Whole cents in a long are exact, and far
+# cheaper than casting each double to a decimal; the cents become decimals only at the end.
 
 
-def _number(c: str, precision: int) -> Column:
-    return F.col(c).cast(f"decimal({precision},0)")
+def _hundredths(c: str) -> Column:
+    return F.floor(F.col(c) * 100 + 0.5)
+
+
+def _per_hundred(hundredths: Column) -> Column:
+    """Divide a non-negative whole number by 100, rounding half up."""
+    return F.floor((hundredths + 50) / 100)
+
+
+def _money(cents: str) -> Column:
+    return (F.col(cents).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
 
 
 def _json(*parts) -> Column:
@@ -63,46 +71,49 @@ def _customer_description(customer: DataFrame) -> DataFrame:
     )
 
 
-def policies_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def policy_facts_from(orders: DataFrame) -> DataFrame:
+    """What an order alone says about a policy."""
     key = F.col("o_orderkey")
-    zone = F.when(key % 10 < 7, "Low").when(key % 10 < 9, "Medium").otherwise("High")
-    health = F.when(key % 10 < 6, "Standard").when(key % 10 < 9, "Preferred").otherwise("Super Preferred")
-    smoker = F.when(key % 20 < 3, "true").otherwise("false")
-    lob = F.col("line_of_business")
-    factors = (
-        F.when(lob == "Motor", _json('{"vehicle_age": ', (key % 20).cast("string"), "}"))
-        .when(lob == "Property", _json('{"flood_zone": "', zone, '"}'))
-        .when(lob == "Life", _json('{"smoker": ', smoker, ', "health_rating": "', health, '"}'))
-        .otherwise("{}")
-    )
-    percent = (F.lit(2) + key % 7).cast("decimal(4,0)") * F.lit("0.01").cast("decimal(3,2)")
-    described = orders.join(
-        _customer_description(customer), F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
     return (
-        described.withColumn("effective_date", F.col("o_orderdate").cast("date"))
-        .withColumn("sum_insured", F.col("o_totalprice").cast(MONEY))
+        orders.withColumn("effective_date", F.col("o_orderdate").cast("date"))
+        .withColumn("insured_cents", _hundredths("o_totalprice"))
+        .withColumn("premium_cents", _per_hundred(F.col("insured_cents") * (key % 7 + 2)))
         .select(
             key.alias("policy_id"),
             F.concat(F.lit("POL"), F.lpad(key.cast("string"), 8, "0")).alias("policy_number"),
             "effective_date",
             F.date_add("effective_date", 365).alias("expiry_date"),
-            "line_of_business",
-            "sum_insured",
-            (F.col("sum_insured") * percent).cast(MONEY).alias("premium"),
-            "geography",
+            _money("insured_cents").alias("sum_insured"),
+            _money("premium_cents").alias("premium"),
+            F.col("o_custkey").alias("customer_id"),
             (F.col("o_custkey") % 68 + 18).cast("int").alias("customer_age"),
             F.when(F.col("o_custkey") % 2 == 0, "F").otherwise("M").alias("customer_gender"),
-            factors.alias("risk_factors"),
         )
     )
 
 
+def policies_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    key, lob = F.col("policy_id"), F.col("line_of_business")
+    zone = F.when(key % 10 < 7, "Low").when(key % 10 < 9, "Medium").otherwise("High")
+    health = F.when(key % 10 < 6, "Standard").when(key % 10 < 9, "Preferred").otherwise("Super Preferred")
+    smoker = F.when(key % 20 < 3, "true").otherwise("false")
+    factors = (
+        F.when(lob == "Motor", _json('{"vehicle_age": ', (key % 20).cast("string"), "}"))
+        .when(lob == "Property", _json('{"flood_zone": "', zone, '"}'))
+        .when(lob == "Life", _json('{"smoker": ', smoker, ', "health_rating": "', health, '"}'))
+        .otherwise("{}")
+    )
+    described = policy_facts_from(orders).join(
+        _customer_description(customer), F.col("customer_id") == F.col("c_custkey"), "left"
+    )
+    return described.withColumn("risk_factors", factors).drop("customer_id", "c_custkey")
+
+
 def claim_facts_from(lineitem: DataFrame) -> DataFrame:
     """What a line item alone says about a claim."""
     delay = (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber") * 7) % 366
-    kept = F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    settled = _number("l_quantity", 4) * F.lit("0.02").cast("decimal(3,2)")
+    kept = F.lit(100) - _hundredths("l_discount")
+    settled = F.floor(F.col("l_quantity") + 0.5) * 2
     part = F.col("l_partkey")
     complexity = F.when(part % 10 < 6, "Simple").when(part % 10 < 9, "Medium").otherwise("Complex")
     legal = F.when(F.col("l_suppkey") % 10 == 0, "true").otherwise("false")
@@ -116,9 +127,12 @@ def claim_facts_from(lineitem: DataFrame) -> DataFrame:
     return (
         lineitem.withColumn("accident_date", F.col("l_shipdate").cast("date"))
         .withColumn("report_date", F.date_add("accident_date", delay.cast("int")))
-        .withColumn("initial_reserve", F.col("l_extendedprice").cast(MONEY))
-        .withColumn("incurred_amount", (F.col("initial_reserve") * kept).cast(MONEY))
-        .withColumn("paid_amount", (F.col("incurred_amount") * settled).cast(MONEY))
+        .withColumn("price_cents", _hundredths("l_extendedprice"))
+        .withColumn("incurred_cents", _per_hundred(F.col("price_cents") * kept))
+        .withColumn("paid_cents", _per_hundred(F.col("incurred_cents") * settled))
+        .withColumn("initial_reserve", _money("price_cents"))
+        .withColumn("incurred_amount", _money("incurred_cents"))
+        .withColumn("paid_amount", _money("paid_cents"))
         .withColumn("outstanding_reserve", derive.outstanding("incurred_amount", "paid_amount").cast(MONEY))
         .select(
             claim_id.alias("claim_id"),
@@ -161,6 +175,11 @@ def claims_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
     return described.withColumn("claim_cause", cause).drop("cause_number")
 
 
+def policy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies without line of business, geography and risk factors: no join."""
+    return policy_facts_from(source(spark, sf_dir, "orders"))
+
+
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policies_from(source(spark, sf_dir, "orders"), source(spark, sf_dir, "customer"))
 

@@ -36,19 +36,29 @@ def read_table(spark: SparkSession, table: str, path: str | list[str], fmt: str
     if fmt == "parquet":
         raw = spark.read.parquet(*paths)
     elif fmt == "csv":
-        raw = spark.read.options(**CSV_OPTIONS).csv(paths)
+        # CSV cannot tell empty text from a missing value; the tables have no missing text.
+        texts = [f.name for f in TABLES[table] if isinstance(f.dataType, T.StringType)]
+        raw = spark.read.options(**CSV_OPTIONS).csv(paths).fillna("", texts)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return conform(raw, TABLES[table])
 
 
 def read_table_stream(
-    spark: SparkSession, table: str, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    table: str,
+    path: str,
+    *,
+    max_bytes_per_trigger: int = 256 * 1024**3,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """New Parquet files of a table as a stream."""
+    """New Parquet files of a table as a stream. A micro-batch is bounded by the bytes (or
+    by the number of files) it takes, also when a large backlog is waiting."""
     reader = spark.readStream.schema(TABLES[table])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 
