@@ -305,6 +305,7 @@ def reserve_profile(claims: DataFrame) -> DataFrame:
 def p95_by_line(claims: DataFrame, *, method: str = "exact") -> DataFrame:
     """Total and 95th percentile of unsettled reserves per line of business."""
     stats = reserve_distribution(claims.where(unsettled()), ["line_of_business"], {"p95": 0.95}, method=method)
+    # Cents at a rank in hundredths: four decimals are exact.
     return stats.select(
-        "line_of_business", F.col("total").alias("total_reserves"), F.round("p95", 2).alias("p95_reserve")
+        "line_of_business", F.col("total").alias("total_reserves"), F.round("p95", 4).alias("p95_reserve")
     ).orderBy("line_of_business")

@@ -534,7 +534,7 @@ FROM claims WHERE outstanding_reserve > 0
             "line_of_business:s total_reserves:d p95_reserve:d",
             f"""
 SELECT line_of_business, sum(outstanding_reserve) AS total_reserves,
-  round(quantile_cont({reserve}, 0.95), 2) AS p95_reserve
+  round(quantile_cont({reserve}, 0.95), 4) AS p95_reserve
 FROM claims WHERE unsettled GROUP BY line_of_business
 """,
         ),
