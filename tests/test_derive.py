@@ -27,7 +27,7 @@ def test_outstanding_and_status(spark):
         spark,
         *[{"incurred_amount": i, "paid_amount": 5} for i in (3, 15, 15.01, 1005, 1005.01)],
     ).withColumn("outstanding_reserve", derive.outstanding("incurred_amount", "paid_amount"))
-    got = df.select("outstanding_reserve", derive.claim_status("outstanding_reserve").alias("s")).collect()
+    got = df.select("outstanding_reserve", derive.claim_status(F.col("outstanding_reserve")).alias("s")).collect()
     assert [(float(r[0]), r.s) for r in got] == [
         (0, "Closed"), (10, "Closed"), (10.01, "Open"), (1000, "Open"), (1000.01, "Reserved"),
     ]

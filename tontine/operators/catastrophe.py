@@ -61,9 +61,11 @@ def hurricane_exposure(policies: DataFrame, zones: DataFrame | None = None) -> D
     """Expected hurricane losses per zone and line.
 
     Policies are summed per geography and line first; the join then sees that small result
-    and the constant zone table.
+    and the zone table. Only the built-in table is broadcast by hint; a table given by the
+    caller (state, hurricane_zone, loss_ratio) is joined as its size suggests.
     """
-    zones = zone_table(policies.sparkSession) if zones is None else zones
+    if zones is None:
+        zones = F.broadcast(zone_table(policies.sparkSession))
     per_state = (
         exposed(policies)
         .groupBy("geography", "line_of_business")
@@ -76,7 +78,7 @@ def hurricane_exposure(policies: DataFrame, zones: DataFrame | None = None) -> D
     gross = F.col("exposure") * F.col("loss_ratio")
     net = gross * F.lit(A.HURRICANE_RETENTION)
     return (
-        per_state.join(F.broadcast(zones), F.col("geography") == F.col("state"))
+        per_state.join(zones, F.col("geography") == F.col("state"))
         .groupBy("hurricane_zone", "line_of_business", "loss_ratio")
         .agg(
             F.sum("n").alias("exposed_policies"),
@@ -171,7 +173,8 @@ def stress_test(policies: DataFrame, scenarios: DataFrame | None = None) -> Data
     geography, instead of pairing every scenario with every group. A zero row per scenario
     keeps those that hit no state.
     """
-    scenarios = scenario_table(policies.sparkSession) if scenarios is None else scenarios
+    built_in = scenarios is None
+    scenarios = scenario_table(policies.sparkSession) if built_in else scenarios
     at_risk = F.col("line_of_business").isin(A.CATASTROPHE_LINES)
     per_state = (
         policies.groupBy("geography")
@@ -186,7 +189,8 @@ def stress_test(policies: DataFrame, scenarios: DataFrame | None = None) -> Data
     )
     name = ["scenario_name", "loss_ratio"]
     states = scenarios.select(*name, F.explode("affected_states").alias("state"))
-    hit = per_state.join(F.broadcast(states), F.col("geography") == F.col("state")).select(
+    states = F.broadcast(states) if built_in else states
+    hit = per_state.join(states, F.col("geography") == F.col("state")).select(
         *name, "exposure", "premium", "n", "everything"
     )
     zero = F.lit(0).cast("decimal(28,2)")
@@ -282,7 +286,7 @@ def dashboard(policies: DataFrame, claims: DataFrame, *, as_of=None, days: int =
         F.count_if(high_risk).alias("high_risk_policies"),
         sum_where("sum_insured", high_risk).alias("high_risk"),
     )
-    activity = claims.where(unsettled() | recent).agg(
+    activity = claims.agg(
         sum_where("outstanding_reserve", unsettled()).alias("reserves"),
         F.count_if(recent & is_catastrophe()).alias("recent_cat_claims"),
         sum_where("incurred_amount", recent & is_catastrophe()).alias("recent_losses"),

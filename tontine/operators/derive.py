@@ -30,13 +30,14 @@ def development_month(accident, report) -> Column:
 
 def outstanding(developed, paid) -> Column:
     """What is still to be paid, never negative."""
-    return F.greatest(F.lit(0).cast(MONEY), F.col(developed) - F.col(paid))
+    return F.greatest(F.lit(0), F.col(developed) - F.col(paid))
 
 
-def claim_status(outstanding_reserve) -> Column:
-    status = F.when(F.col(outstanding_reserve) <= A.STATUS_LIMITS[0][0], A.STATUS_LIMITS[0][1])
-    for limit, name in A.STATUS_LIMITS[1:]:
-        status = status.when(F.col(outstanding_reserve) <= limit, name)
+def claim_status(outstanding_reserve: Column) -> Column:
+    (lowest, first), *rest = A.STATUS_LIMITS
+    status = F.when(outstanding_reserve <= lowest, first)
+    for limit, name in rest:
+        status = status.when(outstanding_reserve <= limit, name)
     return status.otherwise("Reserved")
 
 

@@ -203,8 +203,7 @@ def cashflow_projection(claims: DataFrame, *, min_accident_year: int = 2020) ->
     """
     recent = F.col("accident_year") >= min_accident_year
     per_month = (
-        claims.where(recent | unsettled())
-        .groupBy("line_of_business", "development_month")
+        claims.groupBy("line_of_business", "development_month")
         .agg(
             sum_where("paid_amount", recent).alias("paid"),
             sum_where("outstanding_reserve", recent).alias("outstanding"),

@@ -109,8 +109,8 @@ def policies_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return described.withColumn("risk_factors", factors).drop("customer_id", "c_custkey")
 
 
-def claim_facts_from(lineitem: DataFrame) -> DataFrame:
-    """What a line item alone says about a claim."""
+def claim_facts_from(lineitem: DataFrame, *described: str) -> DataFrame:
+    """What a line item says about a claim, next to columns that describe it already."""
     delay = (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber") * 7) % 366
     kept = F.lit(100) - _hundredths("l_discount")
     settled = F.floor(F.col("l_quantity") + 0.5) * 2
@@ -133,7 +133,8 @@ def claim_facts_from(lineitem: DataFrame) -> DataFrame:
         .withColumn("initial_reserve", _money("price_cents"))
         .withColumn("incurred_amount", _money("incurred_cents"))
         .withColumn("paid_amount", _money("paid_cents"))
-        .withColumn("outstanding_reserve", derive.outstanding("incurred_amount", "paid_amount").cast(MONEY))
+        .withColumn("outstanding_cents", derive.outstanding("incurred_cents", "paid_cents"))
+        .withColumn("outstanding_reserve", _money("outstanding_cents"))
         .select(
             claim_id.alias("claim_id"),
             F.concat(F.lit("CLM"), F.lpad(claim_id.cast("string"), 8, "0")).alias("claim_number"),
@@ -143,36 +144,33 @@ def claim_facts_from(lineitem: DataFrame) -> DataFrame:
             F.year("accident_date").alias("accident_year"),
             derive.development_month("accident_date", "report_date").alias("development_month"),
             (F.col("l_suppkey") % 5).cast("int").alias("cause_number"),
-            derive.claim_status("outstanding_reserve").alias("claim_status"),
+            derive.claim_status(F.col("outstanding_cents") / 100).alias("claim_status"),
             "initial_reserve",
             "paid_amount",
             "outstanding_reserve",
             "incurred_amount",
             attributes.alias("claim_attributes"),
+            *described,
         )
     )
 
 
-def policy_description(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    return orders.join(
-        _customer_description(customer), F.col("o_custkey") == F.col("c_custkey"), "left"
-    ).select(F.col("o_orderkey").alias("described_policy"), "line_of_business", "geography")
-
-
-def describe(facts: DataFrame, description: DataFrame) -> DataFrame:
-    """Add line of business and geography to rows that carry a policy id."""
-    return facts.join(description, F.col("policy_id") == F.col("described_policy"), "left").drop(
-        "described_policy"
-    )
-
-
 def claims_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Claims with the line of business and geography of their order's customer.
+
+    The joins come first and move the narrow source columns; texts and amounts are derived
+    from them afterwards.
+    """
+    description = orders.join(
+        _customer_description(customer), F.col("o_custkey") == F.col("c_custkey"), "left"
+    ).select("o_orderkey", "line_of_business", "geography")
+    described = lineitem.join(description, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     cause = F.when(F.lit(False), "")
     for line, causes in A.CLAIM_CAUSES.items():
         named = F.element_at(F.array(*[F.lit(c) for c in causes]), F.col("cause_number") + 1)
         cause = cause.when(F.col("line_of_business") == line, named)
-    described = describe(claim_facts_from(lineitem), policy_description(orders, customer))
-    return described.withColumn("claim_cause", cause).drop("cause_number")
+    facts = claim_facts_from(described, "line_of_business", "geography")
+    return facts.withColumn("claim_cause", cause).drop("cause_number")
 
 
 def policy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
