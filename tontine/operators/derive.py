@@ -6,8 +6,6 @@ calls these functions supplies them per contract group.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,67 +73,79 @@ def contract_groups(claims: DataFrame) -> DataFrame:
 # Reserve measures ----------------------------------------------------------------------
 
 
+# Columns of one step may build on each other: Spark resolves them from left to right.
+
+
 def with_discount_rates(groups: DataFrame, rates: dict[str, float] | None = None) -> DataFrame:
     """Add ``discount_rate`` per line of business."""
     rates = A.DISCOUNT_RATES if rates is None else rates
-    table = F.create_map(*[F.lit(x) for item in rates.items() for x in item])
-    found = F.try_element_at(table, F.col("line_of_business"))
-    return groups.withColumn("discount_rate", F.coalesce(found, F.lit(A.DEFAULT_DISCOUNT_RATE)))
+    (first, rate), *rest = rates.items()
+    found = F.when(F.col("line_of_business") == first, rate)
+    for line, rate in rest:
+        found = found.when(F.col("line_of_business") == line, rate)
+    return groups.withColumn("discount_rate", found.otherwise(A.DEFAULT_DISCOUNT_RATE))
 
 
 def pv_measures(groups: DataFrame) -> DataFrame:
     """Present values. Needs discount_rate, duration_years and premium_ratio."""
     years = F.greatest(F.lit(0.5), dbl("duration_years"))
     factor = F.round(F.lit(1.0) / F.pow(F.lit(1.0) + F.col("discount_rate"), years), 6)
-    return (
-        groups.withColumn("pv_factor", factor.cast("decimal(9,6)"))
-        .withColumn("pv_claims", (F.col("total_incurred") * F.col("pv_factor")).cast(MONEY))
-        .withColumn("pv_premiums", (F.col("pv_claims") * F.col("premium_ratio")).cast(MONEY))
+    return groups.withColumns(
+        {
+            "pv_factor": factor.cast("decimal(9,6)"),
+            "pv_claims": (F.col("total_incurred") * F.col("pv_factor")).cast(MONEY),
+            "pv_premiums": (F.col("pv_claims") * F.col("premium_ratio")).cast(MONEY),
+        }
     )
 
 
 def risk_and_acquisition(groups: DataFrame) -> DataFrame:
     """Risk adjustment and acquisition costs. Needs risk_rate and acquisition_rate."""
-    return groups.withColumn(
-        "risk_adjustment", (F.col("pv_claims") * F.col("risk_rate")).cast(MONEY)
-    ).withColumn("acquisition_costs", (F.col("pv_premiums") * F.col("acquisition_rate")).cast(MONEY))
+    return groups.withColumns(
+        {
+            "risk_adjustment": (F.col("pv_claims") * F.col("risk_rate")).cast(MONEY),
+            "acquisition_costs": (F.col("pv_premiums") * F.col("acquisition_rate")).cast(MONEY),
+        }
+    )
 
 
 def csm_split(groups: DataFrame) -> DataFrame:
     """Margin into contractual service margin (profitable) or loss component (onerous)."""
-    nothing = F.lit(0).cast(MONEY)
-    margin = F.col("pv_premiums") - F.col("pv_claims") - F.col("acquisition_costs") - F.col("risk_adjustment")
-    return (
-        groups.withColumn("margin", margin)
-        .withColumn("initial_csm", F.greatest(F.col("margin"), nothing).cast(MONEY))
-        .withColumn("loss_component", F.greatest(-F.col("margin"), nothing).cast(MONEY))
-        .withColumn("profitability_class", F.when(F.col("margin") > 0, "Profitable").otherwise("Onerous"))
-        .drop("margin")
-    )
+    margin = F.expr("pv_premiums - pv_claims - acquisition_costs - risk_adjustment")
+    return groups.withColumns(
+        {
+            "margin": margin,
+            "initial_csm": F.greatest(F.col("margin"), F.lit(0)).cast(MONEY),
+            "loss_component": F.greatest(-F.col("margin"), F.lit(0)).cast(MONEY),
+            "profitability_class": F.when(F.col("margin") > 0, "Profitable").otherwise("Onerous"),
+        }
+    ).drop("margin")
 
 
 def csm_amortize(groups: DataFrame) -> DataFrame:
     """Coverage units and the quarter's release. Needs coverage_months and remaining_share."""
     units, left = F.col("coverage_units_total"), F.col("coverage_units_current")
     release = dbl("initial_csm") * left / F.nullif(units, F.lit(0)) * 0.25
-    return (
-        groups.withColumn("coverage_units_total", (F.col("policy_count") * F.col("coverage_months")).cast("long"))
-        .withColumn("coverage_units_current", F.floor(units * F.col("remaining_share")).cast("long"))
-        .withColumn("csm_amortization", F.coalesce(release, F.lit(0.0)).cast(MONEY))
+    return groups.withColumns(
+        {
+            "coverage_units_total": (F.col("policy_count") * F.col("coverage_months")).cast("long"),
+            "coverage_units_current": F.floor(units * F.col("remaining_share")).cast("long"),
+            "csm_amortization": F.coalesce(release, F.lit(0.0)).cast(MONEY),
+        }
     )
 
 
 def liabilities(groups: DataFrame) -> DataFrame:
     """Best estimate, liability for remaining coverage and reserve adequacy."""
     adequacy = dbl("total_outstanding") / F.greatest(F.lit(1.0), dbl("pv_claims"))
-    bel = F.col("pv_claims") + F.col("risk_adjustment")
-    return (
-        groups.withColumn("best_estimate_liability", bel.cast(MONEY))
-        .withColumn(
-            "liability_remaining_coverage",
-            (F.col("best_estimate_liability") + F.col("initial_csm") - F.col("loss_component")).cast(MONEY),
-        )
-        .withColumn("reserve_adequacy_ratio", adequacy.cast("decimal(18,4)"))
+    return groups.withColumns(
+        {
+            "best_estimate_liability": F.expr("pv_claims + risk_adjustment").cast(MONEY),
+            "liability_remaining_coverage": F.expr(
+                "best_estimate_liability + initial_csm - loss_component"
+            ).cast(MONEY),
+            "reserve_adequacy_ratio": adequacy.cast("decimal(18,4)"),
+        }
     )
 
 
@@ -164,9 +174,6 @@ def reserve_table(groups: DataFrame) -> DataFrame:
         reserve_metadata,
     ):
         done = step(done)
-    return done.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESERVES])
-
-
-def percent(whole_number) -> Column:
-    """An integer column of percents as an exact decimal share."""
-    return whole_number.cast("decimal(5,0)") * F.lit(Decimal("0.01"))
+    return done.selectExpr(
+        *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in RESERVES]
+    )

@@ -42,116 +42,117 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # cheaper than casting each double to a decimal; the cents become decimals only at the end.
 
 
-def _hundredths(c: str) -> Column:
-    return F.floor(F.col(c) * 100 + 0.5)
+def _hundredths(c: str) -> str:
+    return f"floor({c} * 100 + 0.5)"
 
 
-def _per_hundred(hundredths: Column) -> Column:
+def _per_hundred(hundredths: str) -> str:
     """Divide a non-negative whole number by 100, rounding half up."""
-    return F.floor((hundredths + 50) / 100)
+    return f"floor(({hundredths} + 50) / 100)"
 
 
-def _money(cents: str) -> Column:
-    return (F.col(cents).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+def _money(cents: str, name: str) -> Column:
+    return F.expr(f"cast(cast({cents} as decimal(18,0)) * 0.01 as {MONEY}) as {name}")
 
 
-def _json(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+def _exprs(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
 
 
 def _customer_description(customer: DataFrame) -> DataFrame:
-    lob = F.when(F.col("c_mktsegment") == SEGMENT_LINES[0][0], SEGMENT_LINES[0][1])
-    for segment, line in SEGMENT_LINES[1:]:
-        lob = lob.when(F.col("c_mktsegment") == segment, line)
-    names = F.array(*[F.lit(g) for g in A.GEOGRAPHIES])
-    return customer.select(
+    lines = " ".join(f"when '{segment}' then '{line}'" for segment, line in SEGMENT_LINES)
+    return customer.selectExpr(
         "c_custkey",
-        lob.otherwise("Pension").alias("line_of_business"),
-        F.element_at(names, F.col("c_nationkey") % len(A.GEOGRAPHIES) + 1).alias("geography"),
+        f"case c_mktsegment {lines} else 'Pension' end as line_of_business",
+        f"element_at({_texts(A.GEOGRAPHIES)}, c_nationkey % {len(A.GEOGRAPHIES)} + 1) as geography",
     )
 
 
+def _texts(values: list[str]) -> str:
+    return "array({})".format(", ".join(f"'{value}'" for value in values))
+
+
 def policy_facts_from(orders: DataFrame) -> DataFrame:
     """What an order alone says about a policy."""
-    key = F.col("o_orderkey")
-    return (
-        orders.withColumn("effective_date", F.col("o_orderdate").cast("date"))
-        .withColumn("insured_cents", _hundredths("o_totalprice"))
-        .withColumn("premium_cents", _per_hundred(F.col("insured_cents") * (key % 7 + 2)))
-        .select(
-            key.alias("policy_id"),
-            F.concat(F.lit("POL"), F.lpad(key.cast("string"), 8, "0")).alias("policy_number"),
-            "effective_date",
-            F.date_add("effective_date", 365).alias("expiry_date"),
-            _money("insured_cents").alias("sum_insured"),
-            _money("premium_cents").alias("premium"),
-            F.col("o_custkey").alias("customer_id"),
-            (F.col("o_custkey") % 68 + 18).cast("int").alias("customer_age"),
-            F.when(F.col("o_custkey") % 2 == 0, "F").otherwise("M").alias("customer_gender"),
-        )
+    cents = orders.selectExpr("*", f"{_hundredths('o_totalprice')} as insured_cents")
+    return cents.select(
+        *_exprs(
+            "o_orderkey as policy_id",
+            "concat('POL', lpad(cast(o_orderkey as string), 8, '0')) as policy_number",
+            "cast(o_orderdate as date) as effective_date",
+            "date_add(cast(o_orderdate as date), 365) as expiry_date",
+        ),
+        _money("insured_cents", "sum_insured"),
+        _money(_per_hundred("insured_cents * (o_orderkey % 7 + 2)"), "premium"),
+        *_exprs(
+            "o_custkey as customer_id",
+            "cast(o_custkey % 68 + 18 as int) as customer_age",
+            "if(o_custkey % 2 = 0, 'F', 'M') as customer_gender",
+        ),
     )
 
 
+# Risk attributes per line of business, as JSON text.
+RISK_FACTORS = """
+case line_of_business
+  when 'Motor' then concat('{"vehicle_age": ', policy_id % 20, '}')
+  when 'Property' then concat('{"flood_zone": "',
+    case when policy_id % 10 < 7 then 'Low' when policy_id % 10 < 9 then 'Medium' else 'High' end, '"}')
+  when 'Life' then concat('{"smoker": ', policy_id % 20 < 3, ', "health_rating": "',
+    case when policy_id % 10 < 6 then 'Standard' when policy_id % 10 < 9 then 'Preferred'
+      else 'Super Preferred' end, '"}')
+  else '{}'
+end as risk_factors
+"""
+
+CLAIM_ATTRIBUTES = """
+concat('{"complexity": "',
+  case when l_partkey % 10 < 6 then 'Simple' when l_partkey % 10 < 9 then 'Medium' else 'Complex' end,
+  '", "legal_involvement": ', l_suppkey % 10 = 0,
+  ', "catastrophe_related": ', l_partkey % 20 = 7, '}') as claim_attributes
+"""
+
+
 def policies_from(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    key, lob = F.col("policy_id"), F.col("line_of_business")
-    zone = F.when(key % 10 < 7, "Low").when(key % 10 < 9, "Medium").otherwise("High")
-    health = F.when(key % 10 < 6, "Standard").when(key % 10 < 9, "Preferred").otherwise("Super Preferred")
-    smoker = F.when(key % 20 < 3, "true").otherwise("false")
-    factors = (
-        F.when(lob == "Motor", _json('{"vehicle_age": ', (key % 20).cast("string"), "}"))
-        .when(lob == "Property", _json('{"flood_zone": "', zone, '"}'))
-        .when(lob == "Life", _json('{"smoker": ', smoker, ', "health_rating": "', health, '"}'))
-        .otherwise("{}")
-    )
     described = policy_facts_from(orders).join(
         _customer_description(customer), F.col("customer_id") == F.col("c_custkey"), "left"
     )
-    return described.withColumn("risk_factors", factors).drop("customer_id", "c_custkey")
+    return described.selectExpr("* except (customer_id, c_custkey)", RISK_FACTORS)
 
 
 def claim_facts_from(lineitem: DataFrame, *described: str) -> DataFrame:
     """What a line item says about a claim, next to columns that describe it already."""
-    delay = (F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber") * 7) % 366
-    kept = F.lit(100) - _hundredths("l_discount")
-    settled = F.floor(F.col("l_quantity") + 0.5) * 2
-    part = F.col("l_partkey")
-    complexity = F.when(part % 10 < 6, "Simple").when(part % 10 < 9, "Medium").otherwise("Complex")
-    legal = F.when(F.col("l_suppkey") % 10 == 0, "true").otherwise("false")
-    catastrophe = F.when(part % 20 == 7, "true").otherwise("false")
-    attributes = _json(
-        '{"complexity": "', complexity,
-        '", "legal_involvement": ', legal,
-        ', "catastrophe_related": ', catastrophe, "}",
-    )
-    claim_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    return (
-        lineitem.withColumn("accident_date", F.col("l_shipdate").cast("date"))
-        .withColumn("report_date", F.date_add("accident_date", delay.cast("int")))
-        .withColumn("price_cents", _hundredths("l_extendedprice"))
-        .withColumn("incurred_cents", _per_hundred(F.col("price_cents") * kept))
-        .withColumn("paid_cents", _per_hundred(F.col("incurred_cents") * settled))
-        .withColumn("initial_reserve", _money("price_cents"))
-        .withColumn("incurred_amount", _money("incurred_cents"))
-        .withColumn("paid_amount", _money("paid_cents"))
-        .withColumn("outstanding_cents", derive.outstanding("incurred_cents", "paid_cents"))
-        .withColumn("outstanding_reserve", _money("outstanding_cents"))
-        .select(
-            claim_id.alias("claim_id"),
-            F.concat(F.lit("CLM"), F.lpad(claim_id.cast("string"), 8, "0")).alias("claim_number"),
-            F.col("l_orderkey").alias("policy_id"),
-            "accident_date",
-            "report_date",
-            F.year("accident_date").alias("accident_year"),
-            derive.development_month("accident_date", "report_date").alias("development_month"),
-            (F.col("l_suppkey") % 5).cast("int").alias("cause_number"),
-            derive.claim_status(F.col("outstanding_cents") / 100).alias("claim_status"),
-            "initial_reserve",
-            "paid_amount",
-            "outstanding_reserve",
-            "incurred_amount",
-            attributes.alias("claim_attributes"),
-            *described,
-        )
+    amounts = lineitem.select(
+        "*",
+        *_exprs(
+            "l_orderkey * 8 + l_linenumber as claim_id",
+            "cast(l_shipdate as date) as accident_date",
+            "date_add(accident_date, cast((l_partkey * 31 + l_suppkey * 17 + l_linenumber * 7) % 366 as int))"
+            " as report_date",
+            f"{_hundredths('l_extendedprice')} as price_cents",
+            _per_hundred(f"price_cents * (100 - {_hundredths('l_discount')})") + " as incurred_cents",
+            _per_hundred("incurred_cents * floor(l_quantity + 0.5) * 2") + " as paid_cents",
+        ),
+        derive.outstanding("incurred_cents", "paid_cents").alias("outstanding_cents"),
+    )
+    return amounts.select(
+        "claim_id",
+        *_exprs(
+            "concat('CLM', lpad(cast(claim_id as string), 8, '0')) as claim_number",
+            "l_orderkey as policy_id",
+        ),
+        "accident_date",
+        "report_date",
+        F.expr("year(accident_date) as accident_year"),
+        derive.development_month("accident_date", "report_date").alias("development_month"),
+        F.expr("cast(l_suppkey % 5 as int) as cause_number"),
+        derive.claim_status(F.col("outstanding_cents") / 100).alias("claim_status"),
+        _money("price_cents", "initial_reserve"),
+        _money("paid_cents", "paid_amount"),
+        _money("outstanding_cents", "outstanding_reserve"),
+        _money("incurred_cents", "incurred_amount"),
+        F.expr(CLAIM_ATTRIBUTES),
+        *described,
     )
 
 
@@ -165,12 +166,13 @@ def claims_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
         _customer_description(customer), F.col("o_custkey") == F.col("c_custkey"), "left"
     ).select("o_orderkey", "line_of_business", "geography")
     described = lineitem.join(description, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    cause = F.when(F.lit(False), "")
-    for line, causes in A.CLAIM_CAUSES.items():
-        named = F.element_at(F.array(*[F.lit(c) for c in causes]), F.col("cause_number") + 1)
-        cause = cause.when(F.col("line_of_business") == line, named)
-    facts = claim_facts_from(described, "line_of_business", "geography")
-    return facts.withColumn("claim_cause", cause).drop("cause_number")
+    causes = " ".join(
+        f"when '{line}' then element_at({_texts(names)}, cause_number + 1)"
+        for line, names in A.CLAIM_CAUSES.items()
+    )
+    return claim_facts_from(described, "line_of_business", "geography").selectExpr(
+        "* except (cause_number)", f"case line_of_business {causes} end as claim_cause"
+    )
 
 
 def policy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,25 +195,29 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_assumptions(groups: DataFrame) -> DataFrame:
     """Assumption columns of a contract group, as plain arithmetic on its keys."""
-    line = F.array_position(F.array(*[F.lit(x) for x in A.LINES_OF_BUSINESS]), F.col("line_of_business")) - 1
-    place = F.array_position(F.array(*[F.lit(x) for x in A.GEOGRAPHIES]), F.col("geography")) - 1
-    year, lob = F.col("cohort_year"), F.col("line_of_business")
-    quarter = (place + line + year) % 8
-    months = F.when(lob == "Life", 240).when(lob == "Pension", 360).otherwise(12 + 4 * place)
-    acquisition = (20 + 3 * ((year * 2 + place * 5 + line) % 11)).cast("decimal(5,0)")
-    return (
-        groups.withColumn("duration_years", F.when(lob == "Life", 15).when(lob == "Pension", 20).otherwise(3))
-        .withColumn("premium_ratio", derive.percent(110 + 3 * ((year + place) % 11)))
-        .withColumn("risk_rate", derive.percent(5 + (place * 3 + line * 7 + year * 5) % 11))
-        .withColumn("acquisition_rate", acquisition * F.lit("0.005").cast("decimal(4,3)"))
-        .withColumn("coverage_months", months)
-        .withColumn("remaining_share", derive.percent(50 + (place * 5 + line) % 51))
-        .withColumn("confidence_level", F.when(quarter < 2, 0.75).when(quarter < 6, 0.85).otherwise(0.95))
-        .withColumn(
-            "valuation_date",
-            derive.quarter_end(F.add_months(F.lit("2001-01-01").cast("date"), (quarter * 3).cast("int"))),
-        )
+    numbered = groups.selectExpr(
+        "*",
+        f"array_position({_texts(A.LINES_OF_BUSINESS)}, line_of_business) - 1 as line_number",
+        f"array_position({_texts(A.GEOGRAPHIES)}, geography) - 1 as place",
+        "(place + line_number + cohort_year) % 8 as quarter",
     )
+    return numbered.select(
+        "*",
+        *_exprs(
+            "case line_of_business when 'Life' then 15 when 'Pension' then 20 else 3 end as duration_years",
+            "cast(110 + 3 * ((cohort_year + place) % 11) as decimal(5,0)) * 0.01 as premium_ratio",
+            "cast(5 + (place * 3 + line_number * 7 + cohort_year * 5) % 11 as decimal(5,0)) * 0.01 as risk_rate",
+            "cast(20 + 3 * ((cohort_year * 2 + place * 5 + line_number) % 11) as decimal(5,0)) * 0.005"
+            " as acquisition_rate",
+            "case line_of_business when 'Life' then 240 when 'Pension' then 360 else 12 + 4 * place end"
+            " as coverage_months",
+            "cast(50 + (place * 5 + line_number) % 51 as decimal(5,0)) * 0.01 as remaining_share",
+            "case when quarter < 2 then 0.75D when quarter < 6 then 0.85D else 0.95D end as confidence_level",
+        ),
+        derive.quarter_end(F.expr("add_months(date'2001-01-01', cast(quarter * 3 as int))")).alias(
+            "valuation_date"
+        ),
+    ).drop("line_number", "place", "quarter")
 
 
 def contract_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ LAYOUT = {
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to the declared schema. Equal types stay untouched, so filters on
     them still reach the scan; a value that cannot be cast is an error."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema])
 
 
 def read_table(spark: SparkSession, table: str, path: str | list[str], fmt: str = "parquet") -> DataFrame:
