@@ -53,8 +53,10 @@ def geographic_exposure(
 
 def zone_table(spark: SparkSession, zones=A.HURRICANE_ZONES) -> DataFrame:
     """One row per exposed state (a constant of a few rows)."""
-    rows = [(state, zone, loss_ratio) for zone, states, loss_ratio in zones for state in states]
-    return spark.createDataFrame(rows, "state string, hurricane_zone string, loss_ratio decimal(4,2)")
+    rows = ", ".join(
+        f"('{state}', '{zone}', {loss_ratio})" for zone, states, loss_ratio in zones for state in states
+    )
+    return spark.sql(f"select * from values {rows} as zones(state, hurricane_zone, loss_ratio)")
 
 
 def hurricane_exposure(policies: DataFrame, zones: DataFrame | None = None) -> DataFrame:
@@ -161,9 +163,11 @@ def event_monitor(
 
 def scenario_table(spark: SparkSession, scenarios=A.STRESS_SCENARIOS) -> DataFrame:
     """Stress scenarios, one row each (a constant of a few rows)."""
-    return spark.createDataFrame(
-        scenarios, "scenario_name string, loss_ratio decimal(4,2), affected_states array<string>"
+    rows = ", ".join(
+        "('{}', {}, array({}))".format(name, loss_ratio, ", ".join(f"'{state}'" for state in states))
+        for name, loss_ratio, states in scenarios
     )
+    return spark.sql(f"select * from values {rows} as scenarios(scenario_name, loss_ratio, affected_states)")
 
 
 def stress_test(policies: DataFrame, scenarios: DataFrame | None = None) -> DataFrame:

@@ -50,7 +50,10 @@ def csm_movement_rows(reserves: DataFrame) -> DataFrame:
 
 def csm_movements(reserves: DataFrame) -> DataFrame:
     """Opening to closing margin per line of business and reporting year."""
-    rate = F.avg("amortization_rate_period")
+    # The rates have four decimals: averaged as decimals, the result has no order of addition.
+    rate, remaining = (
+        mean(F.col(c).cast("decimal(18,4)")) for c in ("amortization_rate_period", "remaining_coverage_ratio")
+    )
     return (
         csm_movement_rows(reserves)
         .groupBy("line_of_business", F.year("valuation_date").alias("reporting_year"))
@@ -60,7 +63,7 @@ def csm_movements(reserves: DataFrame) -> DataFrame:
             _rounded_sum("csm_amortization", "period_amortization"),
             F.round(F.sum(F.col("closing_csm")), 0).alias("closing_csm"),
             F.round(rate, 4).alias("avg_amortization_rate"),
-            F.round(F.avg("remaining_coverage_ratio"), 4).alias("avg_remaining_coverage"),
+            F.round(remaining, 4).alias("avg_remaining_coverage"),
             F.round(dbl(F.sum("closing_csm")) * rate, 0).alias("projected_next_period_amort"),
         )
         .orderBy("line_of_business", F.desc("reporting_year"))
@@ -185,7 +188,7 @@ def risk_adjustment(reserves: DataFrame, *, high: float = 0.10, moderate: float
             _rounded_sum("risk_adjustment", "total_risk_adjustment"),
             _rounded_sum("pv_claims", "total_pv_claims"),
             _rounded_sum("best_estimate_liability", "total_bel"),
-            F.round(F.avg("confidence"), 2).alias("avg_confidence_level"),
+            F.round(mean(F.col("confidence").cast("decimal(18,6)")), 2).alias("avg_confidence_level"),
             F.round(level, 4).alias("ra_to_claims_ratio"),
             ratio(F.sum("risk_adjustment"), F.sum("best_estimate_liability"), 4).alias("ra_to_bel_ratio"),
             above(level, [(high, "High"), (moderate, "Moderate")], "Low").alias("risk_adjustment_level"),

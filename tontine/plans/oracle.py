@@ -583,11 +583,13 @@ FROM reserves WHERE profitability_class = 'Profitable' AND initial_csm > 0
 SELECT line_of_business, year(valuation_date) AS reporting_year, count(*) AS profitable_contract_groups,
   round(sum(initial_csm), 0) AS opening_csm, round(sum(csm_amortization), 0) AS period_amortization,
   round(sum(initial_csm) - sum(csm_amortization), 0) AS closing_csm,
-  round(avg(rate), 4) AS avg_amortization_rate,
-  round(avg({_over("coverage_units_current", "coverage_units_total", 4)}), 4) AS avg_remaining_coverage,
-  round(CAST(sum(initial_csm) - sum(csm_amortization) AS DOUBLE) * avg(rate), 0)
+  round(CAST({_over("sum(rate)", "count(*)")} AS DECIMAL(18,8)), 4) AS avg_amortization_rate,
+  round(CAST({_over("sum(remaining)", "count(*)")} AS DECIMAL(18,8)), 4) AS avg_remaining_coverage,
+  round(CAST(sum(initial_csm) - sum(csm_amortization) AS DOUBLE) * {_over("sum(rate)", "count(*)")}, 0)
     AS projected_next_period_amort
-FROM (SELECT * EXCLUDE (rate), {_over("csm_amortization", "initial_csm", 4)} AS rate
+FROM (SELECT * EXCLUDE (rate),
+        CAST({_over("csm_amortization", "initial_csm", 4)} AS DECIMAL(18,4)) AS rate,
+        CAST({_over("coverage_units_current", "coverage_units_total", 4)} AS DECIMAL(18,4)) AS remaining
       FROM reserves WHERE profitability_class = 'Profitable' AND initial_csm > 0)
 GROUP BY 1, 2
 """,
@@ -664,7 +666,7 @@ FROM reserves WHERE coverage_units_total > 0 GROUP BY 1, 2
             f"""
 SELECT line_of_business, geography, count(*) AS contract_groups, round({ra}, 0) AS total_risk_adjustment,
   round({claims}, 0) AS total_pv_claims, round({bel}, 0) AS total_bel,
-  round(avg(confidence), 2) AS avg_confidence_level, {_over(ra, claims, 4)} AS ra_to_claims_ratio,
+  {_over("sum(CAST(confidence AS DECIMAL(18,6)))", "count(*)", 2)} AS avg_confidence_level, {_over(ra, claims, 4)} AS ra_to_claims_ratio,
   {_over(ra, bel, 4)} AS ra_to_bel_ratio,
   CASE WHEN {_over(ra, claims)} > 0.10 THEN 'High' WHEN {_over(ra, claims)} > 0.05 THEN 'Moderate'
        ELSE 'Low' END AS risk_adjustment_level
