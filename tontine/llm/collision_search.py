@@ -5,8 +5,7 @@ unit length). Each hash is one random projection, each index one sorted array of
 query counts, over all arrays, how often a vector's projection falls into a window around the query's own.
 Windows start narrow and widen by a constant factor (virtual rehashing); a vector that collides
 ``threshold`` times is verified with its exact inner product (Huang et al. 2015). A query stops once its
-windows reach ``reach`` standard deviations of what a neighbour as near as its present k-th would show,
-or when everything is verified.
+windows are made for distances as large as that of its present k-th, or when everything is verified.
 
 Vectors and queries are dealt into blocks of bounded size; each pair of blocks is searched in one task and
 the best k of each are merged. So no task holds all vectors or all queries.
@@ -25,10 +24,10 @@ from pyspark.sql import functions as F
 
 from tontine.llm.common import ship
 
-PROJECTIONS = 64
+PROJECTIONS = 24
 WIDEN = 1.5
-VECTORS = 4096
-QUERIES = 512
+VECTORS = 8192
+QUERIES = 1024
 
 
 def usable(vector: Column) -> Column:
@@ -50,47 +49,53 @@ def search_block(
     indexed = np.hstack([vectors, extra[:, None]]) / scale
     length = np.sqrt((queries**2).sum(1))
     asked = np.hstack([queries / length[:, None], np.zeros((len(queries), 1))])
-    hashed = indexed @ directions
-    order = np.argsort(hashed, axis=0, kind="stable")
-    arrays = np.take_along_axis(hashed, order, 0)
-    at = asked @ directions
-    # A neighbour at distance r shows projections within r * z of the query's with probability p2; it
-    # is verified when it collides in at least this many arrays.
-    z, p = 1.2, 0.7699  # P(|N(0, 1)| <= 1.2)
+    hashed = (indexed @ directions).T
+    order = np.argsort(hashed, axis=1, kind="stable").astype(np.int32)
+    arrays = np.take_along_axis(hashed, order, 1)
+    at = (asked @ directions).T
+    # A neighbour at distance r shows a projection within z * r of the query's with probability p; it
+    # is verified when it collides in about that share of the arrays.
+    z, p = 1.2, 0.7699
     threshold = max(1, int(np.floor(projections * p - confidence * np.sqrt(projections * p * (1 - p)))))
+    # The windows of all radii: a factor wider each time, up to the largest distance there is.
+    radii = 0.25 * WIDEN ** np.arange(2 + int(np.ceil(np.log(2 / 0.25) / np.log(WIDEN))))
+    reach = z * radii[:, None]
+    lows = np.stack([np.searchsorted(a, x - reach) for a, x in zip(arrays, at, strict=True)])
+    highs = np.stack([np.searchsorted(a, x + reach) for a, x in zip(arrays, at, strict=True)])
     found = []
     for q in range(len(queries)):
-        counts = np.zeros(n, np.int16)
-        left = np.array([np.searchsorted(arrays[:, j], at[q, j]) for j in range(projections)])
-        right = left.copy()
-        verified = np.zeros(n, bool)
-        own = ids == query_ids[q]
-        dots = np.full(n, -np.inf)
-        radius = 0.25
-        while True:
-            for j in range(projections):
-                low, high = np.searchsorted(arrays[:, j], (at[q, j] - z * radius, at[q, j] + z * radius))
-                counts[order[low : left[j], j]] += 1
-                counts[order[right[j] : high, j]] += 1
-                left[j], right[j] = min(low, left[j]), max(high, right[j])
+        counts, dots = np.zeros(n, np.int64), np.full(n, -np.inf)
+        verified = ids == query_ids[q]
+        left = right = None
+        for step, radius in enumerate(radii):
+            low, high = lows[:, step, q], highs[:, step, q]
+            if left is None:
+                windows = [o[x:y] for o, x, y in zip(order, low, high, strict=True)]
+            else:
+                windows = [o[x:y] for o, x, y in zip(order, low, left, strict=True)]
+                windows += [o[x:y] for o, x, y in zip(order, right, high, strict=True)]
+            left, right = low, high
+            counts += np.bincount(np.concatenate(windows), minlength=n)
             new = np.flatnonzero((counts >= threshold) & ~verified)
             if len(new):
                 verified[new] = True
                 dots[new] = vectors[new] @ queries[q]
-                dots[own] = -np.inf
-            good = np.isfinite(dots).sum()
             if verified.all():
                 break
-            if good >= k:
+            if np.isfinite(dots).sum() >= k:
                 kth = np.partition(dots, n - k)[n - k]
-                distance = np.sqrt(max(0.0, 2.0 - 2.0 * kth / (length[q] * scale)))
-                if distance <= radius:
+                if np.sqrt(max(0.0, 2.0 - 2.0 * kth / (length[q] * scale))) <= radius:
                     break
-            radius *= WIDEN
-        best = np.flatnonzero(np.isfinite(dots))
-        exact = np.array([np.dot(vectors[i], queries[q]) for i in best]) if len(best) <= 4 * k else dots[best]
-        keep = np.lexsort((ids[best], -exact))[:k]
-        found.append((np.full(len(keep), q), best[keep], exact[keep]))
+        else:
+            # Wider than all distances: what is left is verified too.
+            new = np.flatnonzero(~verified)
+            dots[new] = vectors[new] @ queries[q]
+        near = np.flatnonzero(np.isfinite(dots))
+        if len(near) > k:
+            near = near[dots[near] >= np.partition(dots[near], len(near) - k)[len(near) - k] - 1e-9 * scale * length[q]]
+        exact = (vectors[near] * queries[q]).sum(1)
+        keep = np.lexsort((ids[near], -exact))[:k]
+        found.append((np.full(len(keep), q), near[keep], exact[keep]))
     if not found:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -109,12 +114,13 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each row for which ``is_query`` holds."""
     ship(table.sparkSession)
-    v = F.col(vector_col).cast("array<double>")
+    kind = "float" if table.schema[vector_col].dataType.elementType.typeName() == "float" else "double"
+    v = F.col(vector_col).cast(f"array<{kind}>")
     rows = table.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), is_query.alias("asks"))
     rows = rows.filter(usable(F.col("v")) & F.col("id").isNotNull())
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     rows = rows.filter(F.size("v") == (sizes["d"] if sizes else 0))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, asking, most = rows.agg(
         F.count("*"), F.count(F.when(F.col("asks"), 1)), F.coalesce(F.max(square), F.lit(0.0))
     ).first()
@@ -133,7 +139,7 @@ def nearest(
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         ids, query_ids = mine["id"].to_numpy(np.int64), questions["id"].to_numpy(np.int64)
         q, i, s = search_block(
-            np.stack(mine["v"]), ids, np.stack(questions["v"]), query_ids, k, longest, projections, confidence
+            np.stack(mine["v"]).astype(float), ids, np.stack(questions["v"]).astype(float), query_ids, k, longest, projections, confidence
         )
         return pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[i], "score": s})
 

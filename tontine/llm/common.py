@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import os
 import tempfile
 import zipfile
@@ -28,17 +27,14 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as archive:
+    file = os.path.join(tempfile.mkdtemp(prefix="tontine-code-"), "tontine_code.zip")
+    with zipfile.ZipFile(file, "w") as archive:
         for folder, _, names in os.walk(package):
             for name in sorted(names):
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(package)))
-    path = os.path.join(tempfile.mkdtemp(prefix="tontine-code-"), "tontine_code.zip")
-    with open(path, "wb") as out:
-        out.write(packed.getvalue())
-    context.addPyFile(path)
+    context.addPyFile(file)
     _SHIPPED.add(context.applicationId)
 
 
@@ -69,23 +65,46 @@ def narrow(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFr
     )
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    """Arrow batches as dictionaries of Python lists."""
+#: Bytes of rows that a function gets as Python objects at once, unless a single row is longer.
+AT_ONCE = 8 << 20
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], most: int = AT_ONCE) -> Iterator[dict[str, list]]:
+    """Arrow batches as dictionaries of Python lists, cut so that each holds about ``most`` bytes."""
     for batch in batches:
-        yield batch.to_pydict()
+        step = max(1, batch.num_rows * most // max(batch.nbytes, 1))
+        for first in range(0, batch.num_rows, step):
+            yield batch.slice(first, step).to_pydict()
 
 
-def arrow_map(df: DataFrame, schema: str, function: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
-    """Apply ``function`` to the columns of each Arrow batch; it returns the columns of ``schema``."""
+def arrow_fold(
+    df: DataFrame, schema: str, function: Callable[[Iterator[dict[str, list]]], dict[str, list]], most: int = AT_ONCE
+) -> DataFrame:
+    """Apply ``function`` to all the rows of a task, given piece by piece; it returns columns once."""
     wanted = df.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+        yield as_batch(function(rows_of(batches, most)), wanted)
+
+    return df.mapInArrow(run, wanted)
+
+
+def as_batch(columns: dict[str, list], wanted) -> pa.RecordBatch:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(wanted)
-        for columns in rows_of(batches):
-            out = function(columns)
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+    arrow = to_arrow_schema(wanted)
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+
+
+def arrow_map(
+    df: DataFrame, schema: str, function: Callable[[dict[str, list]], dict[str, list]], most: int = AT_ONCE
+) -> DataFrame:
+    """Apply ``function`` to the columns of the rows, piece by piece; it returns the columns of ``schema``."""
+    wanted = df.sparkSession.createDataFrame([], schema).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in rows_of(batches, most):
+            yield as_batch(function(columns), wanted)
 
     return df.mapInArrow(run, wanted)
 

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, held_out, narrow
+from tontine.llm.common import arrow_fold, arrow_map, held_out, narrow
 from tontine.llm.ngrams import Ftrl, Unique, feature_ids, softmax, temperature
 
 ORDERS = (1, 2, 3)
@@ -63,14 +63,16 @@ def tf_idf(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     """How many training texts hold each feature, and their number."""
 
-    def count(columns):
-        total, unique = np.zeros(1 << BITS, np.int64), Unique(BITS)
-        for text in columns["text"]:
-            total[unique(feature_ids(text, ORDERS, BITS))] += 1
+    def count(pieces):
+        total, unique, rows = np.zeros(1 << BITS, np.int64), Unique(BITS), 0
+        for columns in pieces:
+            for text in columns["text"]:
+                total[unique(feature_ids(text, ORDERS, BITS))] += 1
+                rows += 1
         ids = np.flatnonzero(total)
-        return {"feature": np.r_[ids, -1], "n": np.r_[total[ids], len(columns["text"])]}
+        return {"feature": np.r_[ids, -1], "n": np.r_[total[ids], rows]}
 
-    sums = arrow_map(train.select("text"), "feature int, n long", count).groupBy("feature").agg(F.sum("n").alias("n"))
+    sums = arrow_fold(train.select("text"), "feature int, n long", count).groupBy("feature").agg(F.sum("n").alias("n"))
     out, rows = np.zeros(1 << BITS), 0
     for feature, n in sums.collect():  # one row for each of 2^BITS features at most
         if feature < 0:

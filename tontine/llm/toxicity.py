@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, held_out, narrow
+from tontine.llm.common import arrow_fold, arrow_map, held_out, narrow
 from tontine.llm.ngrams import Ftrl, Unique, feature_ids
 
 ORDERS = (4, 5, 6)
@@ -45,15 +45,16 @@ class Classifier:
 def class_counts(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Texts that hold each n-gram, by class, and the number of texts of each class."""
 
-    def count(columns):
+    def count(pieces):
         total, unique, rows = np.zeros((2, 1 << BITS), np.int64), Unique(BITS), np.zeros(2, np.int64)
-        for text, label in zip(columns["text"], columns["label"], strict=True):
-            total[label, unique(feature_ids(text, ORDERS, BITS))] += 1
-            rows[label] += 1
+        for columns in pieces:
+            for text, label in zip(columns["text"], columns["label"], strict=True):
+                total[label, unique(feature_ids(text, ORDERS, BITS))] += 1
+                rows[label] += 1
         ids = np.flatnonzero(total.any(0))
         return {"feature": np.r_[ids, -1], "clean": np.r_[total[0, ids], rows[0]], "toxic": np.r_[total[1, ids], rows[1]]}
 
-    sums = arrow_map(train.select("text", "label"), "feature int, clean long, toxic long", count)
+    sums = arrow_fold(train.select("text", "label"), "feature int, clean long, toxic long", count)
     got = sums.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
     feature = got["feature"].to_numpy()
     both = np.stack([got["clean"].to_numpy(), got["toxic"].to_numpy()])
