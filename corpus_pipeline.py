@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm import exact_dedup, language_id, packing, pii, simhash
-from tontine.llm.common import arrow_map, read_documents, stored  # noqa: F401
+from tontine.llm.common import read_documents, stored
 
 #: A text whose most likely language has a lower calibrated probability is in no language it knows.
 SURE = 0.4
 
+#: Up to so many ids (8 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
 # The language stage learns from other rows than the calibration of op5 holds out; it judges all rows.
 ORACLE_SQL = None
 
@@ -56,7 +59,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id, NULL included, isn't in ``ids (doc_id)``."""
-    gone = ids.select(F.col("doc_id").alias("__gone"))
+    gone = stored(ids.select(F.col("doc_id").alias("__gone")), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
 
 
