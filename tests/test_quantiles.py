@@ -45,12 +45,10 @@ def samples():
     return rows
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-@pytest.mark.parametrize("bin_bits", [14, 4])
-def test_matches_brute_force(spark, broadcast_rows, bin_bits):
+def test_matches_brute_force(spark):
     rows = samples()
     df = spark.createDataFrame(rows, "k string, x decimal(18,2)").repartition(5)
-    got = distribution(df, ["k"], "x", WANTED, bin_bits=bin_bits, broadcast_rows=broadcast_rows)
+    got = distribution(df, ["k"], "x", WANTED)
     expected = brute_force(rows)
     found = {r.k: r for r in got.collect()}
     assert set(found) == set(expected)
@@ -73,3 +71,21 @@ def test_several_keys(spark):
     got = {(r.a, r.b): r.p50 for r in distribution(df, ["a", "b"], "x", {"p50": 0.5}).collect()}
     exact = df.groupBy("a", "b").agg({"x": "median"}).collect()
     assert got == pytest.approx({(r.a, r.b): float(r[2]) for r in exact})
+
+
+def test_large_close_values_keep_their_deviation(spark):
+    """A difference of squares would lose it."""
+    rows = [("a", Decimal("50000000.00") + (i % 2) * Decimal("0.02")) for i in range(1000)]
+    got = distribution(spark.createDataFrame(rows, "k string, x decimal(18,2)"), ["k"], "x", {"p50": 0.5}).first()
+    assert got.deviation == pytest.approx(0.01, rel=1e-9)
+
+
+def test_defining_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(100).selectExpr("id % 3 k", "cast(id as decimal(18,2)) x")
+    spark.sparkContext.setJobGroup("define", "define")
+    try:
+        distribution(df, ["k"], "x", {"p50": 0.5})
+        assert not tracker.getJobIdsForGroup("define")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")

@@ -1,15 +1,10 @@
-"""Exact grouped quantiles of a money column, for groups of any size.
+"""Exact grouped quantiles of a money column, for groups of any size, in one lazy plan.
 
-``percentile`` keeps every distinct value of a group in one task. Here a group is spread
-over value bins instead, in two passes:
-
-1. A histogram per group (count and moments per bin, combined before the shuffle). It
-   shows in which bin each wanted rank lies, and gives count, sum and deviation as well.
-2. Only the rows of those few bins are counted value by value, again combined before the
-   shuffle, and the rank is read off.
-
-A task never sees more than the bins of a group (value range / bin width) or the distinct
-values of one bin (bin width), however many rows the group has.
+``percentile`` keeps every distinct value of a group in one task. Here the rows are counted
+once by group and value, combined before the shuffle, and everything else is read from that
+one exchange. Ranks are located level by level: among coarse bins of the values, among the
+finer bins of the bin found, and at last among its values. A task orders at most the bins of
+a bin, ``2^20`` with the levels below, however many rows or values the group has.
 """
 
 from __future__ import annotations
@@ -20,128 +15,119 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tontine.functions.columns import dbl, ratio
-from tontine.session import shared_dir
 
-# Largest number of wanted bins (a few dozen bytes each) sent to every executor.
-BROADCAST_ROWS = 100_000
+# Bits of the values that the bins of each level leave out; the last level is the values.
+LEVELS = (40, 20, 0)
+# The level whose bins carry the moments: their offsets stay exact when squared and summed.
+MOMENT_BITS = 20
+
+EXACT = "decimal(38,0)"
 
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{k}__w"]) for k in keys])
 
 
-def distribution(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    quantiles: dict[str, float],
-    *,
-    bin_bits: int = 14,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"{k}__w" for k in keys})
+
+
+def _within(values: DataFrame, wanted: DataFrame, keys: list[str], above: str | None, bits: int) -> DataFrame:
+    """The bins of one level that hold the wanted ranks, with the ranks counted within them."""
+    bin_name = f"bin_{bits}__"
+    inside = [*keys, above] if above else keys
+    sizes = values.withColumn(bin_name, F.shiftright("cents__", bits)).groupBy(*inside, bin_name).agg(
+        F.sum("n__").alias("n__")
+    )
+    ordered = Window.partitionBy(*inside).orderBy(bin_name).rowsBetween(Window.unboundedPreceding, 0)
+    placed = sizes.withColumn("upto__", F.sum("n__").over(ordered)).withColumn(
+        "from__", F.col("upto__") - F.col("n__")
+    )
+    asked = _renamed(wanted, inside)
+    return (
+        placed.join(asked, _same(inside, placed, asked))
+        .where((F.col("rank__") >= F.col("from__")) & (F.col("rank__") < F.col("upto__")))
+        .select(*keys, bin_name, "slot__", (F.col("rank__") - F.col("from__")).alias("rank__"))
+    )
+
+
+def _moments(values: DataFrame, keys: list[str]) -> DataFrame:
+    """``n``, exact ``sum__`` of the cents, ``mean__`` and ``variance__``. Squares are summed as
+    exact offsets within bins, and between bins as distances from the group's mean."""
+    base = F.shiftleft(F.shiftright("cents__", MOMENT_BITS), MOMENT_BITS)
+    n, offset = F.col("n__").cast(EXACT), (F.col("cents__") - base).cast("decimal(8,0)")
+    bins = values.groupBy(*keys, base.alias("start__")).agg(
+        F.sum("n__").alias("n__"),
+        F.sum((offset * n).cast(EXACT)).alias("off__"),
+        F.sum((offset * offset * n).cast(EXACT)).alias("off2__"),
+    )
+    in_group = Window.partitionBy(*keys)
+    whole = (F.col("start__").cast("decimal(19,0)") * F.col("n__").cast(EXACT) + F.col("off__")).cast(EXACT)
+    known = (
+        bins.withColumn("sum__", F.sum(whole).over(in_group))
+        .withColumn("size__", F.sum("n__").over(in_group))
+        .withColumn("mean__", ratio("sum__", "size__"))
+    )
+    bin_n = dbl("n__")
+    spread = dbl((F.col("off2__") * F.col("n__") - F.col("off__") * F.col("off__")).cast(EXACT)) / bin_n
+    away = dbl("start__") - F.col("mean__") + dbl("off__") / bin_n
+    return known.groupBy(*keys).agg(
+        F.max("size__").alias("n"),
+        F.max("sum__").alias("sum__"),
+        F.max("mean__").alias("mean__"),
+        (F.sum(spread + bin_n * away * away) / F.max("size__")).alias("variance__"),
+    )
+
+
+def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
     """Per group: ``n``, ``total``, ``mean``, ``deviation`` (population) and the quantiles.
 
-    ``value`` must be decimal with two places. Quantiles are interpolated linearly between
-    the neighbouring ranks. The histogram is checkpointed, because the join strategy of the
-    second pass depends on its size.
+    ``value`` must be decimal with two places; NULLs are left out. Quantiles are interpolated
+    linearly between the neighbouring ranks.
     """
-    shared_dir(df.sparkSession)
     cents = df.where(F.col(value).isNotNull()).select(
         *keys, (F.col(value) * 100).cast("long").alias("cents__")
     )
-    binned = cents.withColumn("bin__", F.shiftright("cents__", bin_bits))
-    base = F.shiftleft(F.col("bin__"), bin_bits)
-    offset = F.col("cents__") - base
-    histogram = (
-        binned.groupBy(*keys, "bin__")
-        .agg(
-            F.count(F.lit(1)).alias("n__"),
-            F.sum(offset).alias("off__"),
-            F.sum(dbl(offset * offset)).alias("off2__"),
-        )
-        .checkpoint()
-    )
+    values = cents.groupBy(*keys, "cents__").agg(F.count(F.lit(1)).alias("n__"))
+    moments = _moments(values, keys)
 
-    # The ranks each quantile needs, and the bin each rank falls into.
-    in_group = Window.partitionBy(*keys)
-    running = in_group.orderBy("bin__").rowsBetween(Window.unboundedPreceding, 0)
-    positions = {name: (F.col("size__") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
+    # The ranks that each quantile needs.
     ranks = []
-    for name, position in positions.items():
+    for name, q in quantiles.items():
+        position = (F.col("n") - 1) * F.lit(float(q))
         ranks.append(F.struct(F.lit(f"{name}__lo").alias("slot"), F.floor(position).alias("rank")))
         ranks.append(F.struct(F.lit(f"{name}__hi").alias("slot"), F.ceil(position).alias("rank")))
-    wanted = (
-        histogram.withColumn("size__", F.sum("n__").over(in_group))
-        .withColumn("upto__", F.sum("n__").over(running))
-        .withColumn("from__", F.col("upto__") - F.col("n__"))
-        .select(
-            *[F.col(k).alias(f"{k}__w") for k in keys],
-            F.col("bin__").alias("bin____w"),
-            "from__",
-            F.explode(
-                F.filter(
-                    F.array(*ranks),
-                    lambda r: (r["rank"] >= F.col("from__")) & (r["rank"] < F.col("upto__")),
-                )
-            ).alias("want"),
-        )
-        .select(
-            *[f"{k}__w" for k in keys],
-            "bin____w",
-            F.col("want.slot").alias("slot__"),
-            (F.col("want.rank") - F.col("from__")).alias("rank__"),
-        )
+    wanted = moments.select(*keys, F.explode(F.array(*ranks)).alias("want")).select(
+        *keys, F.col("want.slot").alias("slot__"), F.col("want.rank").alias("rank__")
     )
-    bins = wanted.select(*[f"{k}__w" for k in keys], "bin____w")
-    bin_keys = [*keys, "bin__"]
-    if bins.count() <= broadcast_rows:
-        bins = F.broadcast(bins)
-
-    # Count the values inside the wanted bins and pick the ranks.
-    narrowed = binned.join(bins, _same(bin_keys, binned, bins), "left_semi")
-    values = narrowed.groupBy(*bin_keys, "cents__").agg(F.count(F.lit(1)).alias("n__"))
-    in_bin = Window.partitionBy(*bin_keys).orderBy("cents__").rowsBetween(Window.unboundedPreceding, 0)
-    placed = values.withColumn("upto__", F.sum("n__").over(in_bin))
-    rank = F.col("rank__")
-    picked = (
-        placed.join(wanted, _same(bin_keys, placed, wanted))
-        .where((rank >= F.col("upto__") - F.col("n__")) & (rank < F.col("upto__")))
-        .groupBy(*keys)
-        .agg(
-            *[
-                F.max(F.when(F.col("slot__") == f"{name}__{end}", F.col("cents__"))).alias(f"{name}__{end}")
-                for name in quantiles
-                for end in ("lo", "hi")
-            ]
-        )
-    )
-
-    wide = F.col("n__").cast("decimal(38,0)")
-    start = base.cast("decimal(19,0)")
-    moments = (
-        histogram.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys])
-        .agg(
-            F.sum("n__").alias("n"),
-            F.sum((start * F.col("n__") + F.col("off__")).cast("decimal(28,0)")).alias("sum__"),
-            F.sum(
-                dbl(start) * dbl(start) * dbl(wide) + 2 * dbl(start) * dbl("off__") + F.col("off2__")
-            ).alias("sq__"),
-        )
-        .withColumn("mean__", ratio("sum__", "n"))
+    above = None
+    for bits in LEVELS:
+        narrowed = values
+        if above:
+            narrowed = values.withColumn(above, F.shiftright("cents__", int(above.split("_")[1])))
+            bins = _renamed(wanted.select(*keys, above).distinct(), [*keys, above])
+            narrowed = narrowed.join(bins, _same([*keys, above], narrowed, bins), "left_semi")
+        wanted = _within(narrowed, wanted, keys, above, bits)
+        above = f"bin_{bits}__"
+    picked = wanted.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys]).agg(
+        *[
+            F.max(F.when(F.col("slot__") == f"{name}__{end}", F.col(above))).alias(f"{name}__{end}")
+            for name in quantiles
+            for end in ("lo", "hi")
+        ]
     )
-    joined = picked.join(moments, _same(keys, picked, moments))
+    joined = moments.join(picked, _same(keys, moments, picked))
 
     def interpolated(name: str, q: float) -> Column:
         low, high = dbl(f"{name}__lo") / 100, dbl(f"{name}__hi") / 100
         position = (F.col("n") - 1) * F.lit(float(q))
         return low + (high - low) * (position - F.floor(position))
 
-    variance = F.greatest(F.col("sq__") / F.col("n") - F.col("mean__") * F.col("mean__"), F.lit(0.0))
     return joined.select(
         *keys,
         "n",
         (F.col("sum__") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(38,2)").alias("total"),
         (F.col("mean__") / 100).alias("mean"),
-        (F.sqrt(variance) / 100).alias("deviation"),
+        (F.sqrt("variance__") / 100).alias("deviation"),
         *[interpolated(name, q).alias(name) for name, q in quantiles.items()],
     )
