@@ -27,20 +27,26 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The application's own folder below the one that ``spark.checkpoint.dir`` names, which every
+    executor must reach. Hadoop's file system removes it when the application ends.
 
-    Only a local-mode session may fall back to a temporary folder: there, driver and
-    executors are the same machine. Elsewhere a missing setting is an error.
+    Only a local-mode session may go without the setting, in a temporary folder: there, driver
+    and executors are the same machine. Elsewhere a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tontine-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base
+    own = f"{base.rstrip('/')}/tontine-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(own)
+    fs = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return own
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
