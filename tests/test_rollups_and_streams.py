@@ -46,7 +46,7 @@ def test_stream_equals_batch(spark, table, build, rows, make):
     write_table(build(spark, *rows[3:]), table, source)
     stream = read_table_stream(spark, table, source, max_files_per_trigger=1)
     got = incremental.run(rollup, stream, target)
-    assert incremental.partials(spark, target).select("batch").distinct().count() > 1
+    assert len(incremental._numbers(spark, f"{target}/partials")) > 1
     assert multiset(got) == multiset(rollup.batch(build(spark, *rows)))
 
     # New rows are picked up where the last run stopped; nothing is counted twice.
@@ -66,7 +66,8 @@ def test_a_batch_written_again_replaces_itself(spark):
         ).option("checkpointLocation", scratch_path(spark, f"progress{run}")).trigger(
             availableNow=True
         ).start().awaitTermination()
-    assert multiset(incremental.current(rollup, spark, target)) == multiset(rollup.batch(claims(spark, *CLAIMS)))
+    got = incremental.current(rollup, spark, target, incremental.partial_schema(rollup, claims(spark, *CLAIMS)))
+    assert multiset(got) == multiset(rollup.batch(claims(spark, *CLAIMS)))
 
 
 def test_rollup_also_works_as_a_stateful_stream(spark):
@@ -96,3 +97,45 @@ def test_averages_are_not_added_up(spark):
     part = rollup.partial(claims(spark, *CLAIMS))
     merged = rollup.finish(rollup.merge(part.unionByName(part)))
     assert {r.avg_report_delay for r in merged.collect()} == {31.0, 28.0}
+
+
+def test_averages_leave_missing_values_out(spark):
+    known, missing = dict(CLAIMS[0]), dict(CLAIMS[0]) | {"report_date": None}
+    row = one(rollups.monthly_claims().batch(claims(spark, known, missing)))
+    assert row["claim_count"] == 2
+    assert row["avg_report_delay"] == one(rollups.monthly_claims().batch(claims(spark, known)))["avg_report_delay"]
+
+
+def test_empty_stream_gives_an_empty_rollup(spark):
+    source = scratch_path(spark, "in")
+    write_table(claims(spark, *CLAIMS).limit(0), "claims", source)
+    stream = read_table_stream(spark, "claims", source)
+    assert incremental.run(rollups.triangle(), stream, scratch_path(spark, "out")).count() == 0
+
+
+def test_compaction_counts_nothing_twice(spark):
+    rollup, source, target = rollups.triangle(), scratch_path(spark, "in"), scratch_path(spark, "out")
+    schema = incremental.partial_schema(rollup, claims(spark, *CLAIMS))
+
+    def now():
+        return multiset(incremental.current(rollup, spark, target, schema))
+
+    for row in CLAIMS[:3]:
+        write_table(claims(spark, row), "claims", source)
+    stream = read_table_stream(spark, "claims", source, max_files_per_trigger=1)
+    incremental.start(rollup, stream, target).awaitTermination()
+    expected = multiset(rollup.batch(claims(spark, *CLAIMS[:3])))
+    # A failure after the mark, before the clean-up, and one before the mark.
+    incremental.snapshot(rollup, spark, target, schema)
+    assert len(incremental._numbers(spark, f"{target}/partials")) == 3 and now() == expected
+    incremental._remove(spark, f"{target}/marks")
+    assert now() == expected
+    incremental.compact(rollup, spark, target, schema)
+    assert not incremental._numbers(spark, f"{target}/partials") and now() == expected
+    # Batches after the snapshot are added; every second one compacts.
+    for row in CLAIMS[:3]:
+        write_table(claims(spark, row), "claims", source)
+    stream = read_table_stream(spark, "claims", source, max_files_per_trigger=1)
+    got = incremental.run(rollup, stream, target, compact_every=2)
+    assert multiset(got) == multiset(rollup.batch(claims(spark, *CLAIMS[:3], *CLAIMS[:3])))
+    assert len(incremental._numbers(spark, f"{target}/snapshots")) == 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from samples import claims, multiset, policies, reserves
 from tontine import session
 from tontine.session import scratch_path
+from tontine.sources import star_schema
 from tontine.sources.tables import read_table, write_table
 
 JSON = '{"note": "a, \\"quoted\\" word", "catastrophe_related": true}'
@@ -90,4 +91,22 @@ def test_shared_folder_is_required_off_local_mode(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Remote)
-    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    own = session.shared_dir(spark)
+    assert own.startswith(spark.conf.get("spark.checkpoint.dir")) and spark.sparkContext.applicationId in own
+
+
+def test_missing_and_empty_text_stay_apart_in_csv(spark):
+    path = scratch_path(spark, "csv")
+    rows = sample(spark, "claims").limit(1)
+    both = rows.withColumn("geography", F.lit(None).cast("string")).unionByName(rows.withColumn("geography", F.lit("")))
+    write_table(both, "claims", path, "csv")
+    got = read_table(spark, "claims", path, "csv")
+    assert sorted(str(r.geography) for r in got.collect()) == ["", "None"]
+
+
+def test_numbers_of_more_than_eight_digits_stay_whole(spark):
+    orders = spark.createDataFrame([(987654313,), (987654305,), (5,)], "o_orderkey long").selectExpr(
+        "o_orderkey", "1 o_custkey", "100.0D o_totalprice", "timestamp'1998-01-01' o_orderdate"
+    )
+    got = sorted(r.policy_number for r in star_schema.policy_facts_from(orders).collect())
+    assert got == ["POL00000005", "POL987654305", "POL987654313"]

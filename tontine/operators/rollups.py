@@ -92,10 +92,11 @@ def monthly_claims() -> Rollup:
             "total_incurred": F.sum("incurred_amount"),
             "total_paid": F.sum("paid_amount"),
             "delay_days": F.sum(F.datediff("report_date", "accident_date")),
+            "delays_known": F.count(F.datediff("report_date", "accident_date")),
         },
         output={
             **_cols("claim_count", "total_incurred", "total_paid"),
-            "avg_report_delay": ratio("delay_days", "claim_count"),
+            "avg_report_delay": ratio("delay_days", "delays_known"),
         },
     )
 
@@ -121,10 +122,11 @@ def policy_daily() -> Rollup:
             "total_sum_insured": F.sum("sum_insured"),
             "total_premium": F.sum("premium"),
             "age_years": F.sum("customer_age"),
+            "ages_known": F.count("customer_age"),
         },
         output={
             **_cols("policy_count", "total_sum_insured", "total_premium"),
-            "avg_customer_age": ratio("age_years", "policy_count"),
+            "avg_customer_age": ratio("age_years", "ages_known"),
         },
     )
 

@@ -78,7 +78,7 @@ def policy_facts_from(orders: DataFrame) -> DataFrame:
     return cents.select(
         *_exprs(
             "o_orderkey as policy_id",
-            "concat('POL', lpad(cast(o_orderkey as string), 8, '0')) as policy_number",
+            "concat('POL', format_string('%08d', o_orderkey)) as policy_number",
             "cast(o_orderdate as date) as effective_date",
             "date_add(cast(o_orderdate as date), 365) as expiry_date",
         ),
@@ -138,7 +138,7 @@ def claim_facts_from(lineitem: DataFrame, *described: str) -> DataFrame:
     return amounts.select(
         "claim_id",
         *_exprs(
-            "concat('CLM', lpad(cast(claim_id as string), 8, '0')) as claim_number",
+            "concat('CLM', format_string('%08d', claim_id)) as claim_number",
             "l_orderkey as policy_id",
         ),
         "accident_date",

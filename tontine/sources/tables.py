@@ -6,6 +6,7 @@ credentials come from the Hadoop configuration. Scans are distributed by Spark.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,8 +14,9 @@ from pyspark.sql import types as T
 from tontine.functions import calendar_month
 from tontine.schemas import TABLES
 
-# CSV as spreadsheet tools write it: JSON text is quoted, inner quotes are doubled.
-CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+# CSV as spreadsheet tools write it: JSON text is quoted, inner quotes are doubled. With a mark for
+# missing values, quoted empty text stays text; a blank field is read as missing as well.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N"}
 
 # How each table is laid out: partition columns, and the sort order inside a file, which
 # gives the row-group statistics something to skip on.
@@ -36,9 +38,7 @@ def read_table(spark: SparkSession, table: str, path: str | list[str], fmt: str
     if fmt == "parquet":
         raw = spark.read.parquet(*paths)
     elif fmt == "csv":
-        # CSV cannot tell empty text from a missing value; the tables have no missing text.
-        texts = [f.name for f in TABLES[table] if isinstance(f.dataType, T.StringType)]
-        raw = spark.read.options(**CSV_OPTIONS).csv(paths).fillna("", texts)
+        raw = spark.read.options(**CSV_OPTIONS).csv(paths)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return conform(raw, TABLES[table])
@@ -53,13 +53,18 @@ def read_table_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """New Parquet files of a table as a stream. A micro-batch is bounded by the bytes (or
-    by the number of files) it takes, also when a large backlog is waiting."""
-    reader = spark.readStream.schema(TABLES[table])
+    by the number of files) it takes, also when a large backlog is waiting. The files' own
+    types are cast to the declared ones, as in a batch."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException:  # no file yet: what comes must have the declared types
+        found = TABLES[table]
+    reader = spark.readStream.schema(found)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(path)
+    return conform(reader.parquet(path), TABLES[table])
 
 
 def write_table(
