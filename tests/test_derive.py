@@ -86,3 +86,11 @@ def test_unknown_line_has_the_default_rate(spark):
     df = groups(spark, line_of_business=F.lit("Marine"))
     assert one(derive.with_discount_rates(df))["discount_rate"] == 0.04
     assert one(derive.with_discount_rates(df, {"Marine": 0.01}))["discount_rate"] == 0.01
+
+
+def test_missing_values_stay_missing(spark):
+    df = spark.sql("select date'2021-01-31' a, cast(null as date) r, 5.0BD x, cast(null as decimal(18,2)) y")
+    row = df.select(
+        derive.development_month("a", "r"), derive.outstanding("x", "y"), derive.claim_status(F.col("y"))
+    ).first()
+    assert list(row) == [None, None, None]

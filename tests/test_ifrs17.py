@@ -72,3 +72,12 @@ def test_rates_and_profile(spark):
     assert [(r["discount_rate"], r["total_csm"]) for r in dicts(ifrs17.csm_by_rate(df))] == [(None, 4), (0.04, 3)]
     assert one(ifrs17.reserves_profile(df))["contract_groups_processed"] == 2
     assert one(checks.verify_reserves(df))["total_csm"] == 7
+
+
+def test_discount_sensitivity_without_a_factor(spark):
+    """A factor of zero gives NULL, as a direct quotient would, and the sum leaves it out."""
+    rows = [{"pv_claims": 100, "pv_premiums": 120, "pv_factor": f, "reserve_metadata": META} for f in (0, 1)]
+    both, known = (one(ifrs17.discount_sensitivity(reserves(spark, *r))) for r in (rows, rows[1:]))
+    assert both["base_pv_claims"] == 200
+    assert both["up100bp_claims_impact"] + 200 == known["up100bp_claims_impact"] + 100
+    assert one(ifrs17.discount_sensitivity(reserves(spark, rows[0])))["up100bp_claims_impact"] is None

@@ -106,3 +106,13 @@ def test_p95_and_profile(spark):
     df = claims(spark, *[{"outstanding_reserve": v} for v in range(0, 101)], {"claim_status": "Closed"})
     assert one(reserving.p95_by_line(df))["p95_reserve"] == 95.0
     assert one(reserving.reserve_profile(df))["claims_analyzed"] == 100
+
+
+def test_cashflow_of_claims_without_a_line(spark):
+    """NULL joins no pattern: each claim counts once, and nothing is projected."""
+    rows = [
+        {"line_of_business": None, "development_month": m, "paid_amount": 10, "outstanding_reserve": r}
+        for m, r in ((1, 90), (2, 80))
+    ]
+    (row,) = dicts(reserving.cashflow_projection(claims(spark, *rows)))
+    assert row["current_reserves"] == 170 and row["projected_payments_year1"] == 0

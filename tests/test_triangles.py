@@ -95,3 +95,9 @@ def test_by_line_and_profile(spark):
 def test_recent_triangle(spark):
     df = claims(spark, *cells((2017, 1, 1), (2018, 1, 2), (2021, 1, 3)))
     assert [r["accident_year"] for r in dicts(triangles.triangle_recent(df, as_of="2021-05-01"))] == [2018, 2021]
+
+
+def test_all_cells_unless_a_limit_is_given(spark):
+    rows = cells(*[(2021, m, 1) for m in range(1, 91)])
+    df = claims(spark, *rows)
+    assert triangles.triangle(df).count() == 90 and triangles.triangle_recent(df, as_of="2022-01-01").count() == 90

@@ -17,7 +17,7 @@ def exposed(policies: DataFrame) -> DataFrame:
 
 
 def geographic_exposure(
-    policies: DataFrame, *, high_value: int = 1_000_000, limit: int | None = 20
+    policies: DataFrame, *, high_value: int = 1_000_000, limit: int | None = None
 ) -> DataFrame:
     """Concentration of exposure per geography and line."""
     keys = ["geography", "line_of_business"]
@@ -241,8 +241,8 @@ def scenario_losses(spark: SparkSession, count: int = A.SCENARIO_COUNT) -> DataF
     )
 
 
-def catastrophe_losses(claims: DataFrame) -> DataFrame:
-    """Gross losses as experienced: incurred amount per accident quarter."""
+def quarterly_losses(claims: DataFrame) -> DataFrame:
+    """Gross losses as experienced: all incurred amounts per accident quarter, whatever their cause."""
     quarter = F.concat(F.year("accident_date"), F.lit("Q"), F.quarter("accident_date"))
     return claims.groupBy(quarter.alias("scenario")).agg(
         F.sum("incurred_amount").cast("decimal(28,2)").alias("gross_loss")

@@ -21,14 +21,15 @@ GROUP_KEYS = ["line_of_business", "geography", "cohort_year"]
 
 
 def development_month(accident, report) -> Column:
-    """Calendar months from accident to report, counted from 1."""
+    """Calendar months from accident to report, counted from 1; NULL if either date is missing."""
     months = (F.year(report) - F.year(accident)) * 12 + F.month(report) - F.month(accident) + 1
-    return F.greatest(F.lit(1), months)
+    return F.when(months.isNotNull(), F.greatest(F.lit(1), months))
 
 
 def outstanding(developed, paid) -> Column:
-    """What is still to be paid, never negative."""
-    return F.greatest(F.lit(0), F.col(developed) - F.col(paid))
+    """What is still to be paid, never negative; NULL if either amount is missing."""
+    left = F.col(developed) - F.col(paid)
+    return F.when(left.isNotNull(), F.greatest(F.lit(0), left))
 
 
 def claim_status(outstanding_reserve: Column) -> Column:
@@ -36,7 +37,7 @@ def claim_status(outstanding_reserve: Column) -> Column:
     status = F.when(outstanding_reserve <= lowest, first)
     for limit, name in rest:
         status = status.when(outstanding_reserve <= limit, name)
-    return status.otherwise("Reserved")
+    return status.when(outstanding_reserve.isNotNull(), "Reserved")
 
 
 def quarter_end(date) -> Column:

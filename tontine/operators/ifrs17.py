@@ -100,7 +100,8 @@ def discount_sensitivity(reserves: DataFrame, *, shift: float = 0.01, years: int
     rate = F.col("rate")
 
     def shifted(c: str, by: float):
-        return F.sum(dbl(c) / dbl("pv_factor") / F.pow(1 + rate + by, F.lit(float(years))))
+        # A factor of zero undiscounts to nothing (NULL), which the sum leaves out.
+        return F.sum(ratio(c, "pv_factor") / F.pow(1 + rate + by, F.lit(float(years))))
 
     directions = [("up100bp", shift), ("down100bp", -shift)]
     per_line = (

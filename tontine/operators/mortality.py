@@ -73,7 +73,7 @@ def monthly_experience(policies: DataFrame, *, since: str | None, digits: int =
 
 
 def trend(
-    policies: DataFrame, *, since: str = "2022-01-01", digits: int = 1, limit: int | None = 50
+    policies: DataFrame, *, since: str = "2022-01-01", digits: int = 1, limit: int | None = None
 ) -> DataFrame:
     """Actual to expected deaths by month, with a 12-row mean and the ratio to 12 rows ago.
 
@@ -169,7 +169,7 @@ def cohorts(policies: DataFrame, *, as_of=None, since: str = "2020-01-01") -> Da
     )
 
 
-def shocks(policies: DataFrame, *, min_policies: int = 500, limit: int | None = 20) -> DataFrame:
+def shocks(policies: DataFrame, *, min_policies: int = 500, limit: int | None = None) -> DataFrame:
     """Expected claims per geography and gender under mortality shocks."""
     base = F.col("base")
     (_, pandemic), *_ = A.MORTALITY_SHOCKS

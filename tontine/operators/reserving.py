@@ -142,7 +142,7 @@ def catastrophe_reserves(
     min_accident_year: int = 2022,
     large_loss: int = 50_000,
     min_claims: int = 5,
-    limit: int | None = 30,
+    limit: int | None = None,
 ) -> DataFrame:
     """Reserves by loss type, accident year and geography, as a share of all reserves.
 
@@ -230,12 +230,16 @@ def cashflow_projection(claims: DataFrame, *, min_accident_year: int = 2020) ->
         )
         .where(F.col("unsettled_claims") > 0)
     )
-    has_pattern = F.col("months") > 0
+    # A missing line joins nothing, so its claims count once and have no pattern.
+    has_pattern = (F.col("months") > 0) & F.col("line_of_business").isNotNull()
     return (
         per_line.groupBy(F.when(has_pattern, F.col("line_of_business")).alias("line_of_business"))
         .agg(
-            F.sum(F.col("reserve") * F.greatest(F.col("months"), F.lit(1))).alias("current_reserves"),
-            *[F.coalesce(F.max(f"share_{i}"), F.lit(0.0)).alias(f"share_{i}") for i in range(1, len(horizons) + 1)],
+            F.sum(F.col("reserve") * F.when(has_pattern, F.col("months")).otherwise(1)).alias("current_reserves"),
+            *[
+                F.coalesce(F.max(F.when(has_pattern, F.col(f"share_{i}"))), F.lit(0.0)).alias(f"share_{i}")
+                for i in range(1, len(horizons) + 1)
+            ],
         )
         .select(
             "line_of_business",
@@ -257,7 +261,7 @@ def risk_metrics(
         (F.col("outstanding_reserve") > 0) & (F.col("accident_year") >= min_accident_year)
     )
     keys = ["line_of_business", "geography", "accident_year"]
-    cells = reserve_distribution(open_amounts, keys, {"p99": 0.99, "p01": 0.01}, method=method).where(
+    cells = reserve_distribution(open_amounts, keys, {"p99": 0.99}, method=method).where(
         F.col("n") > min_claims
     )
     capital = dbl("reserves") * F.sqrt("variation")

@@ -36,7 +36,7 @@ def cells(claims: DataFrame, keys: list[str], min_accident_year: int) -> DataFra
 
 
 def triangle(
-    claims: DataFrame, *, min_accident_year: int = 2020, limit: int | None = 50
+    claims: DataFrame, *, min_accident_year: int = 2020, limit: int | None = None
 ) -> DataFrame:
     """Cells in order; ``limit`` is the length of the report (None for all)."""
     keys = ["accident_year", "development_month"]
@@ -44,7 +44,7 @@ def triangle(
     return ordered if limit is None else ordered.limit(limit)
 
 
-def triangle_recent(claims: DataFrame, *, as_of=None, years: int = 3, limit: int | None = 20) -> DataFrame:
+def triangle_recent(claims: DataFrame, *, as_of=None, years: int = 3, limit: int | None = None) -> DataFrame:
     """Cells of the accident years since ``years`` before the valuation year."""
     since = F.year(as_date(as_of)) - years
     keys = ["accident_year", "development_month"]
@@ -87,7 +87,7 @@ def development_factors(
     min_accident_year: int = 2020,
     min_prior_paid: int = 1000,
     min_points: int = 3,
-    limit: int | None = 24,
+    limit: int | None = None,
 ) -> DataFrame:
     """Age-to-age factors per development month over the accident years."""
     by_month = Window.partitionBy("accident_year").orderBy("development_month")
@@ -216,7 +216,7 @@ def chain_ladder(claims: DataFrame, *, as_of=None, min_accident_year: int = 2020
 
 
 def triangle_by_line(
-    claims: DataFrame, *, min_accident_year: int = 2022, months: int = 12, limit: int | None = 20
+    claims: DataFrame, *, min_accident_year: int = 2022, months: int = 12, limit: int | None = None
 ) -> DataFrame:
     """Paid array (whole units) and total per line of business and accident year."""
     keys = ["line_of_business", "accident_year"]
