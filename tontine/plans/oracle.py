@@ -1064,7 +1064,7 @@ FROM reserves GROUP BY 1, 2, 3
 
 
 def statements() -> dict[str, str]:
-    return {
+    made = {
         **_triangles(),
         **_mortality(),
         **_reserving(),
@@ -1073,3 +1073,12 @@ def statements() -> dict[str, str]:
         **_tables(),
         **_rollups(),
     }
+    # The queries on stored tables say the same as those on the raw ones.
+    stored = {
+        "tri_stored": "tri_basic",
+        "tri_by_lob_stored": "tri_by_lob",
+        "dev_factors_stored": "dev_factors",
+        "ifrs_summary_stored": "ifrs_summary",
+        "csm_movements_stored": "csm_movements",
+    }
+    return made | {name: made[same] for name, same in stored.items()}
