@@ -36,18 +36,23 @@ def _within(values: DataFrame, wanted: DataFrame, keys: list[str], above: str |
     """The bins of one level that hold the wanted ranks, with the ranks counted within them."""
     bin_name = f"bin_{bits}__"
     inside = [*keys, above] if above else keys
-    sizes = values.withColumn(bin_name, F.shiftright("cents__", bits)).groupBy(*inside, bin_name).agg(
-        F.sum("n__").alias("n__")
+    asked = _renamed(
+        wanted.groupBy(*inside).agg(F.collect_list(F.struct("slot__", "rank__")).alias("asked__")), inside
     )
-    ordered = Window.partitionBy(*inside).orderBy(bin_name).rowsBetween(Window.unboundedPreceding, 0)
-    placed = sizes.withColumn("upto__", F.sum("n__").over(ordered)).withColumn(
-        "from__", F.col("upto__") - F.col("n__")
+    if above:
+        values = values.withColumn(above, F.shiftright("cents__", int(above.split("_")[1])))
+    sizes = (
+        values.withColumn(bin_name, F.shiftright("cents__", bits))
+        .join(asked, _same(inside, values, asked))
+        .groupBy(*inside, bin_name)
+        .agg(F.sum("n__").alias("n__"), F.first("asked__").alias("asked__"))
     )
-    asked = _renamed(wanted, inside)
-    return (
-        placed.join(asked, _same(inside, placed, asked))
-        .where((F.col("rank__") >= F.col("from__")) & (F.col("rank__") < F.col("upto__")))
-        .select(*keys, bin_name, "slot__", (F.col("rank__") - F.col("from__")).alias("rank__"))
+    ordered = Window.partitionBy(*inside).orderBy(bin_name).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("n__").over(ordered)
+    placed = sizes.select(*keys, bin_name, "asked__", upto.alias("upto__"), (upto - F.col("n__")).alias("from__"))
+    held = F.filter("asked__", lambda a: (a["rank__"] >= F.col("from__")) & (a["rank__"] < F.col("upto__")))
+    return placed.select(*keys, bin_name, "from__", F.explode(held).alias("held__")).select(
+        *keys, bin_name, F.col("held__.slot__"), (F.col("held__.rank__") - F.col("from__")).alias("rank__")
     )
 
 
@@ -102,12 +107,7 @@ def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str
     )
     above = None
     for bits in LEVELS:
-        narrowed = values
-        if above:
-            narrowed = values.withColumn(above, F.shiftright("cents__", int(above.split("_")[1])))
-            bins = _renamed(wanted.select(*keys, above).distinct(), [*keys, above])
-            narrowed = narrowed.join(bins, _same([*keys, above], narrowed, bins), "left_semi")
-        wanted = _within(narrowed, wanted, keys, above, bits)
+        wanted = _within(values, wanted, keys, above, bits)
         above = f"bin_{bits}__"
     picked = wanted.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys]).agg(
         *[
