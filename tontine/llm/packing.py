@@ -24,6 +24,8 @@ from tontine.llm.common import arrow_map, narrow, stored
 from tontine.llm.wordtokens import WordTokenizer
 
 GROUP = 16_384
+#: The emptiest sequences that also exchange among themselves, and how often at most.
+EMPTIEST, EXCHANGES = 24, 400
 
 
 def pieces(
@@ -104,6 +106,28 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[l
         room[target] -= moved
         room[victim] += moved
 
+    def exchange_among_emptiest() -> bool:
+        """One for one or two for one between any two of the emptiest sequences, if it adds to the sum
+        of squared fills."""
+        few = [b for b in np.argsort(np.where(alive, -room, 1), kind="stable")[:EMPTIEST].tolist() if alive[b] and room[b] > 0]
+        held = {b: np.flatnonzero(place == b) for b in few}
+        for a in few:
+            for b in few:
+                if a == b or not len(held[a]) or not len(held[b]):
+                    continue
+                give, take = held[a], held[b]
+                one = np.triu_indices(len(take), 1)
+                sizes = np.r_[lengths[take], lengths[take[one[0]]] + lengths[take[one[1]]]]
+                gain = sizes[None, :] - lengths[give][:, None]
+                gain[(gain <= 0) | (gain > room[a]) | (gain <= room[a] - room[b])] = 0
+                if gain.max(initial=0) > 0:
+                    x, y = np.unravel_index(int(gain.argmax()), gain.shape)
+                    moved = [int(take[y])] if y < len(take) else [int(take[one[i][y - len(take)]]) for i in (0, 1)]
+                    exchange(moved, [int(give[x])], b, a)
+                    return True
+        return False
+
+    exchanges = 0
     while alive.sum() > bound:
         victim = int(np.where(alive, room, -1).argmax())
         before = place.copy(), room.copy()
@@ -140,10 +164,13 @@ def improve(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[l
                     break
             if not done:
                 break
-        if (place == victim).any():
-            place, room = before
+        if not (place == victim).any():
+            alive[victim] = False
+            continue
+        place[:], room[:] = before
+        exchanges += 1
+        if exchanges > EXCHANGES or not exchange_among_emptiest():
             break
-        alive[victim] = False
     order = np.argsort(place, kind="stable")
     cuts = np.flatnonzero(np.diff(place[order])) + 1
     return [part.tolist() for part in np.split(order, cuts)] if len(order) else []
