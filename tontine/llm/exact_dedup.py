@@ -85,6 +85,8 @@ def groups(
     )
     order = F.struct(F.col("id").isNull().alias("missing"), "id", "row")
     of_group = made.groupBy("recipe").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+    # Read from storage, the join is between two plain exchanges, and a large group's rows can be split.
+    of_group = stored(of_group, "groups")
     return made.join(of_group, "recipe").select(
         F.col("id").alias("doc_id"),
         F.col("first.id").alias("keep_id"),
