@@ -172,8 +172,8 @@ def scan(
     ).cast("int")
     met = met.select("row", "id", "template", "wanted", "span", "s", start.alias("start"))
     first = F.greatest(F.col("start") - F.col("span"), F.lit(0))
-    last = F.least(first + F.col("span") * 2 + LARGE, F.size("s")) - 1
-    around = F.transform(F.sequence(first, last), lambda i: F.get("s", i))
+    # Only the place around a match leaves the join, not the whole document's shingles.
+    around = F.slice("s", first + 1, F.col("span") * 2 + LARGE)
     met = met.select("row", "id", "template", "wanted", first.alias("first"), around.alias("around"))
     common = F.array_intersect("wanted", "around")
     met = met.select(
