@@ -18,12 +18,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_fold, arrow_map, held_out, narrow
+from tontine.llm.common import arrow_fold, arrow_map, held_out, narrow, stored
 from tontine.llm.ngrams import Ftrl, Unique, feature_ids
 
 ORDERS = (4, 5, 6)
 BITS = 20
 SAMPLE = 4000
+#: Up to so many labels (an id and a number each) are broadcast, so that the texts aren't shuffled; more
+#: are joined by a shuffle.
+BROADCAST_LABELS = 2_000_000
 #: Features need this log ratio, and this many texts of their likelier class.
 CLEAR = 1.0
 TEXTS = 4
@@ -117,6 +120,9 @@ def train_classifier(docs: DataFrame, labels: DataFrame, divisor: int = 5, rest:
         .filter(F.col("label").isin(0, 1) & ~held_out("id", divisor, rest))
         .groupBy("id").agg(F.max("label").alias("label"))
     )
+    known = stored(known, "labels")
+    if known.count() <= BROADCAST_LABELS:
+        known = F.broadcast(known)
     return fit(rows.filter("NOT held_out").drop("held_out").join(known, "id"), sample)
 
 
