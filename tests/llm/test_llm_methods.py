@@ -98,6 +98,27 @@ def test_pair_counts_in_the_filter(spark):
     assert got[100].base_score == pytest.approx(got[101].base_score) and got[100].score > got[101].score
 
 
+def test_pairs_of_rare_and_long_words_are_counted(spark):
+    """Words too rare or too long to be broadcast have pairs too."""
+    rare, long = "mu nu xi", f"{'u' * 40} {'v' * 40} {'w' * 40}"
+    rows = [(i, "the " * 2000) for i in range(1, 20)] + [(i, text) for i in range(20, 40) for text in (rare, long)]
+    rows += [(100, rare), (101, "xi nu mu"), (102, long), (103, " ".join(reversed(long.split())))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in bloom_lm.score(frame, head_size=100).collect()}
+    for a, b in ((100, 101), (102, 103)):
+        assert got[a].base_score == pytest.approx(got[b].base_score) and got[a].score > got[b].score + 0.1
+
+
+def test_filter_size_changes_no_score(docs):
+    """A filter too large to broadcast is asked by a shuffle; nothing is left out of it."""
+    held, sent = (
+        {r.doc_id: (r.score, r.base_score, r.n_known) for r in bloom_lm.score(docs, filter_bytes=size).collect()}
+        for size in (1 << 25, 1)
+    )
+    assert held.keys() == sent.keys()
+    assert all(held[i] == pytest.approx(sent[i], rel=1e-12) for i in held)
+
+
 def test_sentencepiece_parity_and_round_trip(docs, texts, spark):
     import sentencepiece
 
