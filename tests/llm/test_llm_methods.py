@@ -342,6 +342,33 @@ def test_disguised_spans(text, kind, span):
     assert pii.redacted(text, [(found, a, b)]) == text.replace(span, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize(
+    ("text", "span", "base"),
+    [
+        ("ask jоhn@example.com please", "jоhn@example.com", "hn@example.com"),
+        ("ask joe@sub.example dot com please", "joe@sub.example dot com", "joe@sub.example"),
+        ("host 192.168.1.1５ is up", "192.168.1.1５", "192.168.1.1"),
+    ],
+)
+def test_disguised_span_around_a_plain_one(spark, text, span, base):
+    """The plain span stays; the whole is added, and redaction leaves nothing of it."""
+    plain = pii.plain(text)
+    assert [text[a:b] for _, a, b in plain] == [base]
+    ((kind, a, b),) = pii.disguised(text, plain)
+    assert text[a:b] == span
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = pii.find(frame, with_text=True).collect()
+    assert row.n_added == 1 and row.n_email + row.n_ip == 1
+    assert row.redacted == text.replace(span, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("last", ["ca", "pl", "ru", "jp", "br", "au", "us", "online", "xn--p1ai"])
+def test_spoken_address_in_any_top_level_domain(last):
+    text = f"is john at example dot {last}, yes"
+    ((kind, a, b),) = pii.disguised(text, pii.plain(text))
+    assert (kind, text[a:b]) == ("email", f"john at example dot {last}")
+
+
 def test_clean_texts_have_no_disguised_spans(texts):
     prose = ["we look at the dot on example.com", "one two three of them at noon", "pay at one two three", "see (at) the end [.]"]
     assert not [s for t in [*texts.values(), *prose] for s in pii.disguised(t, pii.plain(t)) if s[0] != "email"]

@@ -5,8 +5,9 @@ matched on the source text as it is. Disguised ones are found by small transduce
 a text and carries, for each character it writes, the source offsets that it stands for. Homoglyphs and
 digits of other scripts become ASCII, invisible characters go, spelled digits become digits, and the
 usual disguises of @ and the dot become those marks. The same patterns then run on the rewritten text, and
-what they find is mapped back. Only places that hold a disguise are rewritten. A disguised span that overlaps
-a plain one is dropped; plain spans always stay.
+what they find is mapped back. Only places that hold a disguise are rewritten. A disguised span that lies within
+a plain one is dropped; one that reaches beyond it is added. Plain spans always stay. Redaction takes out the
+union of spans that overlap.
 
 Defined results: NULL text counts as empty and has no spans. Time grows linearly with a text's length. Rows
 with the same id are searched each for itself; an empty table gives none. Other columns are ignored.
@@ -70,8 +71,84 @@ SPOKEN = re.compile(
 )
 _SPOKEN_HINT = re.compile(r"(?i)\sdot\s|\sat\s+[a-z0-9-]+\.[a-z0-9]|\s@|@\s")
 _BRACKET_HINT = re.compile(rf"(?i){_OPEN}\s{{0,2}}(?:at|ät|@|arroba|arobase|dot|punkt|point|punto|\.)\s{{0,2}}{_CLOSE}")
-# Endings that a wholly spoken address must have.
-ENDINGS = frozenset("com org net edu gov io co info biz dev app ai me de fr es uk eu it nl at ch test example invalid".split())
+# Endings that a wholly spoken address must have: the top-level domains (of countries first), those
+# in ASCII code for other scripts (see ``ending``), and those reserved for examples.
+ENDINGS = frozenset(
+    """
+    ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb be bf bg bh bi bj bm bn bo br bs bt bv bw by bz ca cc
+    cd cf cg ch ci cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg es et eu fi fj fm fo fr ga gb gd ge
+    gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jo jp ke kg ki
+    km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mn mo mp mq mr ms mt mu mv mw mx
+    my mz na nc ne nf ng ni nl no nr nu nz om pa pe pf ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd
+    se sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk
+    us uy uz va vc ve vg vi vn vu wf ws ye yt zm zw aaa aarp abarth abb abbott abbvie abc able abogado abudhabi
+    academy accenture accountant accountants aco actor ads adult aeg aero aetna afl africa agakhan agency aig airbus
+    airforce airtel akdn alfaromeo alibaba alipay allfinanz allstate ally alsace alstom amazon americanexpress
+    americanfamily amex amfam amica amsterdam analytics android anquan anz aol apartments app apple aquarelle arab
+    aramco archi army arpa art arte asda asia associates athleta attorney auction audi audible audio auspost author
+    auto autos avianca aws axa azure baby baidu banamex bananarepublic band bank bar barcelona barclaycard barclays
+    barefoot bargains baseball basketball bauhaus bayern bbc bbt bbva bcg bcn beats beauty beer bentley berlin best
+    bestbuy bet bharti bible bid bike bing bingo bio biz black blackfriday blockbuster blog bloomberg blue bms bmw
+    bnpparibas boats boehringer bofa bom bond boo book booking bosch bostik boston bot boutique box bradesco
+    bridgestone broadway broker brother brussels build builders business buy buzz bzh cab cafe cal call calvinklein
+    cam camera camp canon capetown capital capitalone car caravan cards care career careers cars casa case cash
+    casino cat catering catholic cba cbn cbre cbs center ceo cern cfa cfd chanel channel charity chase chat cheap
+    chintai christmas chrome church cipriani circle cisco citadel citi citic city cityeats claims cleaning click
+    clinic clinique clothing cloud club clubmed coach codes coffee college cologne com comcast commbank community
+    company compare computer comsec condos construction consulting contact contractors cooking cookingchannel cool
+    coop corsica country coupon coupons courses cpa credit creditcard creditunion cricket crown crs cruise cruises
+    cuisinella cymru cyou dabur dad dance data date dating datsun day dclk dds deal dealer deals degree delivery
+    dell deloitte delta democrat dental dentist desi design dev dhl diamonds diet digital direct directory discount
+    discover dish diy dnp docs doctor dog domains dot download drive dtv dubai dunlop dupont durban dvag dvr earth
+    eat eco edeka edu education email emerck energy engineer engineering enterprises epson equipment ericsson erni
+    esq estate etisalat eurovision eus events example exchange expert exposed express extraspace fage fail fairwinds
+    faith family fan fans farm farmers fashion fast fedex feedback ferrari ferrero fiat fidelity fido film final
+    finance financial fire firestone firmdale fish fishing fit fitness flickr flights flir florist flowers fly foo
+    food foodnetwork football ford forex forsale forum foundation fox free fresenius frl frogans frontdoor frontier
+    ftr fujitsu fun fund furniture futbol fyi gal gallery gallo gallup game games gap garden gay gbiz gdn gea gent
+    genting george ggee gift gifts gives giving glass gle global globo gmail gmbh gmo gmx godaddy gold goldpoint
+    golf goo goodyear goog google gop got gov grainger graphics gratis green gripe grocery group guardian gucci guge
+    guide guitars guru hair hamburg hangout haus hbo hdfc hdfcbank health healthcare help helsinki here hermes hgtv
+    hiphop hisamitsu hitachi hiv hkt hockey holdings holiday homedepot homegoods homes homesense honda horse
+    hospital host hosting hot hoteles hotels hotmail house how hsbc hughes hyatt hyundai ibm icbc ice icu ieee ifm
+    ikano imamat imdb immo immobilien inc industries infiniti info ing ink institute insurance insure int
+    international intuit invalid investments ipiranga irish ismaili ist istanbul itau itv jaguar java jcb jeep jetzt
+    jewelry jio jll jmp jnj jobs joburg jot joy jpmorgan jprs juegos juniper kaufen kddi kerryhotels kerrylogistics
+    kerryproperties kfh kia kids kim kinder kindle kitchen kiwi koeln komatsu kosher kpmg kpn krd kred kuokgroup
+    kyoto lacaixa lamborghini lamer lancaster lancia land landrover lanxess lasalle lat latino latrobe law lawyer
+    lds lease leclerc lefrak legal lego lexus lgbt lidl life lifeinsurance lifestyle lighting like lilly limited
+    limo lincoln linde link lipsy live living llc llp loan loans locker locus loft lol london lotte lotto love lpl
+    lplfinancial ltd ltda lundbeck luxe luxury macys madrid maif maison makeup man management mango map market
+    marketing markets marriott marshalls maserati mattel mba mckinsey med media meet melbourne meme memorial men
+    menu merckmsd miami microsoft mil mini mint mit mitsubishi mlb mls mma mobi mobile moda moe moi mom monash money
+    monster mormon mortgage moscow moto motorcycles mov movie msd mtn mtr museum music mutual nab nagoya name natura
+    navy nba nec net netbank netflix network neustar new news next nextdirect nexus nfl ngo nhk nico nike nikon
+    ninja nissan nissay nokia northwesternmutual norton now nowruz nowtv nra nrw ntt nyc obi observer office okinawa
+    olayan olayangroup oldnavy ollo omega one ong onion onl online ooo open oracle orange org organic origins osaka
+    otsuka ott ovh page panasonic paris pars partners parts party passagens pay pccw pet pfizer pharmacy phd philips
+    phone photo photography photos physio pics pictet pictures pid pin ping pink pioneer pizza place play
+    playstation plumbing plus pnc pohl poker politie porn post pramerica praxi press prime pro prod productions prof
+    progressive promo properties property protection pru prudential pub pwc qpon quebec quest racing radio read
+    realestate realtor realty recipes red redstone redumbrella rehab reise reisen reit reliance ren rent rentals
+    repair report republican rest restaurant review reviews rexroth rich richardli ricoh ril rio rip rocher rocks
+    rodeo rogers room rsvp rugby ruhr run rwe ryukyu saarland safe safety sakura sale salon samsclub samsung sandvik
+    sandvikcoromant sanofi sap sarl sas save saxo sbi sbs sca scb schaeffler schmidt scholarships school schule
+    schwarz science scot search seat secure security seek select sener services ses seven sew sex sexy sfr shangrila
+    sharp shaw shell shia shiksha shoes shop shopping shouji show showtime silk sina singles site ski skin sky skype
+    sling smart smile sncf soccer social softbank software sohu solar solutions song sony soy spa space sport spot
+    srl stada staples star statebank statefarm stc stcgroup stockholm storage store stream studio study style sucks
+    supplies supply support surf surgery suzuki swatch swiss sydney systems tab taipei talk taobao target tatamotors
+    tatar tattoo tax taxi tci tdk team tech technology tel temasek tennis test teva thd theater theatre tiaa tickets
+    tienda tiffany tips tires tirol tjmaxx tjx tkmaxx tmall today tokyo tools top toray toshiba total tours town
+    toyota toys trade trading training travel travelchannel travelers travelersinsurance trust trv tube tui tunes
+    tushu tvs ubank ubs unicom university uno uol ups vacations vana vanguard vegas ventures verisign versicherung
+    vet viajes video vig viking villas vin vip virgin visa vision viva vivo vlaanderen vodka volkswagen volvo vote
+    voting voto voyage vuelos wales walmart walter wang wanggou watch watches weather weatherchannel webcam weber
+    website wedding weibo weir whoswho wien wiki williamhill win windows wine winners wme wolterskluwer woodside
+    work works world wow wtc wtf xbox xerox xfinity xihuan xin xxx xyz yachts yahoo yamaxun yandex yodobashi yoga
+    yokohama you youtube yun zappos zara zero zip zone zuerich
+    """.split()
+)
 STRANGE = re.compile(f"[{INVISIBLE}{DOTS}Ͱ-ԯ٠-٩۰-۹०-९⁰-ₜ①-⓿﹐-﹫！-～\U0001d400-\U0001d7ff]")
 REACH = 160
 
@@ -172,6 +249,11 @@ def unmask_marks(r: Rewritten) -> Rewritten:
     return r.replaced([(m.start(), m.end(), ".") for m in DOT.finditer(r.text)])
 
 
+def ending(word: str) -> bool:
+    """Whether an address can end so."""
+    return word in ENDINGS or word.startswith("xn--")
+
+
 def unmask_spoken(r: Rewritten) -> Rewritten:
     pieces = []
     for m in SPOKEN.finditer(r.text):
@@ -179,7 +261,7 @@ def unmask_spoken(r: Rewritten) -> Rewritten:
         last = re.split(r"\.|\s+", m[4])[-1].lower()
         if spoken_at and not spoken_dot and not (re.search(r"[0-9._+]", m[1]) and re.search("[A-Za-z]", m[1])):
             continue  # "seen at example.com"
-        if (spoken_at or spoken_dot) and last not in ENDINGS:
+        if (spoken_at or spoken_dot) and not ending(last):
             continue
         for g, new in ((1, None), (2, "@"), (4, None)):
             if new:
@@ -234,8 +316,8 @@ def windows(text: str) -> list[tuple[int, int]]:
 
 
 def disguised(text: str, taken: list[Span]) -> list[Span]:
-    """Spans that only the rewritten text shows and that overlap none of ``taken``."""
-    busy = sorted((a, b) for _, a, b in taken)
+    """Spans that only the rewritten text shows and that lie within none of ``taken``, nor of each other."""
+    busy = [(a, b) for _, a, b in taken]
     found: list[Span] = []
     for first, last in windows(text):
         r, runs = unmask_digits(unmask_spoken(unmask_marks(unmask_characters(Rewritten.of(text, first, last)))))
@@ -249,8 +331,9 @@ def disguised(text: str, taken: list[Span]) -> list[Span]:
             span = (kind, min(r.starts[a:b]), max(r.ends[a:b]))
             if r.text[a:b] == text[span[1] : span[2]]:
                 continue  # not disguised: the window may have cut it from a longer match
-            if any(x < span[2] and span[1] < y for x, y in busy) or any(f[1] < span[2] and span[1] < f[2] for f in found):
+            if any(x <= span[1] and span[2] <= y for x, y in busy):
                 continue
+            busy.append(span[1:])
             found.append(span)
     return found
 
@@ -260,7 +343,8 @@ def joined(spans: list[Span]) -> str:
 
 
 def redacted(text: str, spans: list[Span]) -> str:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first counts."""
+    """The text with each span replaced by its kind in brackets; spans that overlap are replaced as one, by the
+    kind of the first."""
     out, at = [], 0
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if b <= at:
