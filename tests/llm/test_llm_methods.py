@@ -192,6 +192,22 @@ def test_language_and_toxicity_held_out(spark):
     assert ((got["predicted"] == got["toxic"]).mean()) > 0.9 and got[got.toxic == 0]["predicted"].mean() < 0.03
 
 
+def test_toxicity_sample_moves_no_decision(spark):
+    """A capped fit on rare toxic labels predicts as the fit on all rows does."""
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        mark = "zzzzzz" if rnd.random() < (0.95 if toxic else 0.3) else "qqqqqq"
+        rows.append((i, f"{mark} {' '.join(rnd.choices(['able', 'baker', 'charlie', 'delta'], k=6))}", int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    whole, capped = (
+        {r.doc_id: r for r in toxicity.score(frame.drop("toxic"), frame.drop("text"), sample=n).collect()} for n in (10_000, 200)
+    )
+    assert np.mean([whole[i].predicted == capped[i].predicted for i in whole]) > 0.97
+    assert np.mean([r.score for r in capped.values()]) < 0.15
+
+
 def test_packing(spark, docs, texts):
     from tokenizers import Tokenizer
 

@@ -3,7 +3,8 @@
 The ratios come from all labelled training rows: for each hashed n-gram, in how many toxic and how many
 other texts it occurs, added up in each task before the shuffle. N-grams with a clear ratio
 are the features; each has its ratio as its value (Wang & Manning 2012). The weights of the logistic
-regression are fitted by follow-the-regularised-leader on at most ``sample`` rows of each class.
+regression are fitted by follow-the-regularised-leader on at most ``sample`` rows of each class; the bias then
+gets the log-odds by which the drawn rows' classes differ from all rows', so the sample moves no decision.
 
 Defined results: NULL text counts as empty and is scored by the bias alone. Labels that are neither 0 nor 1,
 or belong to no document, are left out; of several labels of one id the largest counts. Without labels of both classes every
@@ -96,7 +97,7 @@ def fit(train: DataFrame, sample: int = SAMPLE, epochs: int = 4) -> Classifier:
         if seen[y] < sample:
             seen[y] += 1
             data.append((np.asarray(got["ids"][i].values), y))
-    if not data:
+    if min(seen) == 0:
         return Classifier(np.zeros(1 << BITS), float(np.log(rows[1] / rows[0])))
     bias = 1 << BITS
     model = Ftrl(bias + 1, 2, alpha=0.3, l1=0.3, l2=0.1)
@@ -106,11 +107,12 @@ def fit(train: DataFrame, sample: int = SAMPLE, epochs: int = 4) -> Classifier:
         for i in rng.permutation(len(data)).tolist():
             ids, y = data[i]
             ids = np.r_[ids, bias]
-            # Each drawn row stands for the rows of its class.
             model.step(ids, scaled[ids], y)
     weights = model.weights()
     weights = weights[:, 1] - weights[:, 0]
-    return Classifier((weights * scaled)[:bias], float(weights[bias]))
+    # A class drawn more sparsely than the other is as much likelier as its rows are more; 0 if all are drawn.
+    prior = np.log(rows[1] / rows[0]) - np.log(seen[1] / seen[0])
+    return Classifier((weights * scaled)[:bias], float(weights[bias] + prior))
 
 
 def train_classifier(docs: DataFrame, labels: DataFrame, divisor: int = 5, rest: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Classifier:
