@@ -42,7 +42,8 @@ def texts(docs):
 @pytest.mark.parametrize("name", list(queries.statements()))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "labels", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = queries.queries()[name](spark, SF).toPandas()
     expected = con.execute(queries.statements()[name]).df()
     assert sorted(map(tuple, got[sorted(got)].itertuples(index=False))) == sorted(

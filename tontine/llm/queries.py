@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -19,6 +20,7 @@ from tontine.llm import (
     sentencepiece_codec,
     simhash,
     toxicity,
+    url_rules,
 )
 from tontine.llm.common import read_documents
 
@@ -67,6 +69,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read_documents(spark, sf_dir))
 
 
+#: The site rules of the contract.
+SITE_RULES = [
+    ("org/", url_rules.ALLOW),
+    ("example.org/es/", url_rules.BLOCK),
+    ("example.org/en/1", url_rules.BLOCK),
+    ("com/fr/", url_rules.ALLOW),
+    ("com/de/", url_rules.BLOCK),
+]
+
+
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    sites, patterns = (url_rules.rule_table(spark, rules) for rules in (SITE_RULES, url_rules.PATTERNS))
+    return url_rules.judge(pages, sites, patterns).drop("pattern")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_license_scan, op2_bloom_lm, op3_sentencepiece, op4_collision_search, op5_language_id,
-        op6_packing, op7_simhash, op8_toxicity, op9_pii, op10_exact_dedup, pipeline,
+        op6_packing, op7_simhash, op8_toxicity, op9_pii, op10_exact_dedup, op11_url_rules, pipeline,
     )
     return {q.__name__: q for q in named}
 
@@ -109,5 +127,39 @@ SELECT doc_id, template, containment, CAST(first_word AS BIGINT) AS first_word F
 """
 
 
+def _values(rows) -> str:
+    return ", ".join("({})".format(", ".join("'" + str(x).replace("'", "''") + "'" for x in row)) for row in rows)
+
+
+def _url_sql() -> str:
+    """Every rule against every address."""
+
+    def regex(pattern: str) -> str:
+        start = r"\A([^/?#]*\.)?" if pattern.startswith("||") else r"\A" if pattern.startswith("|") else ""
+        middle = re.escape(pattern.removeprefix("||").removeprefix("|").removesuffix("|"))
+        middle = middle.replace(r"\*", ".*").replace(r"\^", r"([^A-Za-z0-9]|\A|\z)")
+        return f"(?is){start}{middle}" + (r"\z" if pattern.endswith("|") else "")
+
+    patterns = _values((regex(rule), verdict) for rule, verdict in url_rules.PATTERNS)
+    return f"""
+WITH r AS (
+  SELECT row_number() OVER () AS n, page_id,
+         CASE WHEN contains(url, '://') THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '(?s)^[^?#]*(.*)', 1) AS tail FROM r
+), s AS (
+  SELECT rule, verdict, split_part(rule, '/', 1) AS h, substring(rule, instr(rule, '/')) AS pre FROM (VALUES {_values(SITE_RULES)}) AS v(rule, verdict)
+), site AS (
+  SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM p JOIN s ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY n
+), pattern AS (
+  SELECT n, min(verdict) AS verdict FROM p JOIN (VALUES {patterns}) AS v(regex, verdict) ON regexp_matches(host || path || tail, regex) GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(site.verdict, pattern.verdict, 'allow') AS verdict
+FROM p LEFT JOIN site USING (n) LEFT JOIN pattern USING (n)
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op10_exact_dedup": EXACT_DEDUP_SQL, "op1_license_scan": _license_sql()}
+    return {"op10_exact_dedup": EXACT_DEDUP_SQL, "op1_license_scan": _license_sql(), "op11_url_rules": _url_sql()}
