@@ -13,6 +13,7 @@ from tontine.llm import (
     bloom_lm,
     collision_search,
     exact_dedup,
+    filter_audit,
     language_id,
     licenses,
     packing,
@@ -21,6 +22,7 @@ from tontine.llm import (
     simhash,
     toxicity,
     url_rules,
+    whitening,
 )
 from tontine.llm.common import read_documents
 
@@ -85,6 +87,14 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, sites, patterns).drop("pattern")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +104,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = (
         op1_license_scan, op2_bloom_lm, op3_sentencepiece, op4_collision_search, op5_language_id,
-        op6_packing, op7_simhash, op8_toxicity, op9_pii, op10_exact_dedup, op11_url_rules, pipeline,
+        op6_packing, op7_simhash, op8_toxicity, op9_pii, op10_exact_dedup, op11_url_rules, op12_filter_audit, op13_whitening,
+        pipeline,
     )
     return {q.__name__: q for q in named}
 
@@ -161,5 +172,43 @@ FROM p LEFT JOIN site USING (n) LEFT JOIN pattern USING (n)
 """
 
 
+FILTER_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT coalesce(source, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents
+), l AS (
+  SELECT doc_id, coalesce(max(CAST(quality = 1 AS INT)), 0) AS good, coalesce(max(CAST(toxic = 1 AS INT)), 0) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INT)
+         + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > first_id, false) AS INT) AS mask
+  FROM d LEFT JOIN l USING (doc_id)
+), c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask
+), x(a) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), o AS (
+  SELECT x1.a || x2.a || x3.a || x4.a || x5.a AS filter_order FROM x x1, x x2, x x3, x x4, x x5
+  WHERE len(list_distinct([x1.a, x2.a, x3.a, x4.a, x5.a])) = 5
+), s AS (
+  SELECT filter_order, CAST(step AS INT) AS step, 1 << (instr('ABCDE', substring(filter_order, step, 1)) - 1) AS own,
+         coalesce(list_sum([1 << (instr('ABCDE', substring(filter_order, i, 1)) - 1) for i in range(1, step)]), 0)::INT AS before
+  FROM o, range(1, 6) AS r(step)
+), g AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM g
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op10_exact_dedup": EXACT_DEDUP_SQL, "op1_license_scan": _license_sql(), "op11_url_rules": _url_sql()}
+    return {"op10_exact_dedup": EXACT_DEDUP_SQL, "op1_license_scan": _license_sql(), "op11_url_rules": _url_sql(), "op12_filter_audit": FILTER_AUDIT_SQL}
