@@ -117,7 +117,7 @@ def posting_lists(marks: DataFrame, labels: DataFrame, filters: int, marked: int
     rows that fail each of the ``filters`` and of copies, then those of each label of ``labels (id, bits)``."""
     rows = marks.groupBy("part", "id", "digest", "fails").agg(F.count("*").alias("n"))
     firsts = marks.groupBy("digest").agg(F.min("id").alias("id")).filter("id IS NOT NULL")
-    known = labels.filter("id IS NOT NULL").groupBy("id").agg(F.bit_or("bits").alias("bits"))
+    known = labels.filter("id IS NOT NULL AND bits <> 0").groupBy("id").agg(F.bit_or("bits").alias("bits"))
     no_id = F.col("id").isNull()
     entries = (
         _by_key(
