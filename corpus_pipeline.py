@@ -53,24 +53,31 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every text, with its sequence and place."""
-    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    """Every piece of every text with its token ids, sequence and place."""
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True))
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id, NULL included, isn't in ``ids (doc_id)``."""
-    gone = stored(ids.select(F.col("doc_id").alias("__gone")), "gone")
+    name = unused(docs)
+    gone = stored(ids.select(F.col("doc_id").alias(name)), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[name]), "left_anti")
+
+
+def unused(docs: DataFrame) -> str:
+    """A name that no column of ``docs`` has."""
+    return "x" + "_" * max(map(len, docs.columns))
 
 
 def one_of_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` with one row for each different text of the ids in ``ids``."""
-    some = ids.select(F.col("doc_id").alias("__some"))
-    on = docs["doc_id"].cast("long").eqNullSafe(some["__some"])
-    several = docs.join(some, on, "left_semi").withColumn("__text", exact_dedup.normalised(F.coalesce("text", F.lit(""))))
-    several = several.dropDuplicates(["doc_id", "__text"]).drop("__text")
+    name = unused(docs)
+    some = ids.select(F.col("doc_id").alias(name))
+    on = docs["doc_id"].cast("long").eqNullSafe(some[name])
+    several = docs.join(some, on, "left_semi").withColumn(name, exact_dedup.normalised(F.coalesce("text", F.lit(""))))
+    several = several.dropDuplicates(["doc_id", name]).drop(name)
     return docs.join(some, on, "left_anti").unionByName(several)
 
 
