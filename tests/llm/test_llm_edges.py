@@ -138,6 +138,14 @@ def test_stages(spark, docs):
     assert last(spark, docs, "").count() >= len(ROWS) and last(spark, docs.limit(0), "").count() == 0
 
 
+def test_stages_with_odd_column_names(spark, docs):
+    names = ["__text", "__gone", "__some", "x", "x_", "row"]
+    odd = docs.drop("row").select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns and out.filter("doc_id = 1").first()["__text"] == 0, name
+
+
 def test_stage_decisions(spark, docs):
     stages = dict(corpus_pipeline.STAGES)
 

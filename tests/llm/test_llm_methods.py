@@ -272,8 +272,8 @@ def test_fingerprints(docs, texts):
     assert got == {i: f"{simhash_brute(t):016x}" for i, t in texts.items()}
 
 
-@pytest.mark.parametrize("bucket", [0, 4, 32])
-def test_links_find_every_neighbour(spark, bucket):
+@pytest.mark.parametrize("bucket,radius", [(0, 2), (4, 2), (32, 2), (0, 1), (4, 1), (0, 0)])
+def test_links_find_every_neighbour(spark, bucket, radius):
     """Clusters, chains and a crowded partition, with small buckets paired, large ones linked by variants."""
     rnd = random.Random(bucket)
     marks = {rnd.getrandbits(64) for _ in range(150)}
@@ -289,9 +289,19 @@ def test_links_find_every_neighbour(spark, bucket):
     marks |= {crowd ^ (rnd.getrandbits(6) << 40) for _ in range(40)}
     signed = [simhash.signed(m) for m in marks]
     different = spark.createDataFrame([(m,) for m in signed], "fp long")
-    got = components.components(simhash.links(different, bucket=bucket)).collect()
+    got = components.components(simhash.links(different, radius, bucket=bucket)).collect()
     roots = {m: m for m in signed} | {r.node: r.root for r in got}
-    assert roots == linked(signed, 2)
+    assert roots == linked(signed, radius)
+
+
+def test_components_broadcast_nothing(spark, monkeypatch):
+    plans = []
+    plain = components.stored
+    monkeypatch.setattr(components, "stored", lambda df, label: (plans.append(df), plain(df, label))[1])
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (103, 101)], "a long, b long")
+    got = {r.node: r.root for r in components.components(edges).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {103: 100, 101: 100}
+    assert len(plans) > 2 and not any("BroadcastHashJoin" in p._jdf.queryExecution().executedPlan().toString() for p in plans)
 
 
 def test_thresholds():

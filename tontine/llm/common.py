@@ -81,6 +81,7 @@ def arrow_fold(
     df: DataFrame, schema: str, function: Callable[[Iterator[dict[str, list]]], dict[str, list]], most: int = AT_ONCE
 ) -> DataFrame:
     """Apply ``function`` to all the rows of a task, given piece by piece; it returns columns once."""
+    ship(df.sparkSession)
     wanted = df.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,6 +101,7 @@ def arrow_map(
     df: DataFrame, schema: str, function: Callable[[dict[str, list]], dict[str, list]], most: int = AT_ONCE
 ) -> DataFrame:
     """Apply ``function`` to the columns of the rows, piece by piece; it returns the columns of ``schema``."""
+    ship(df.sparkSession)
     wanted = df.sparkSession.createDataFrame([], schema).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,8 @@ def _digest(edges: DataFrame) -> tuple:
 def _star(pairs: DataFrame) -> DataFrame:
     """Link every neighbour of a node to the smallest of them; ``low`` is that smallest."""
     low = pairs.groupBy("a").agg(F.min("b").alias("low"))
-    low = low.select("a", F.least("a", "low").alias("low"))
+    # The hint keeps the minima from being collected for a broadcast, round after round.
+    low = low.select("a", F.least("a", "low").alias("low")).hint("merge")
     return pairs.join(low, "a")
 
 

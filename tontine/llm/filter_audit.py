@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, as_batch, narrow, rows_of, stored
+from tontine.llm.common import arrow_map, as_batch, narrow, rows_of, ship, stored
 
 #: Rows in one range of ids at most.
 RANGE = 65_536
@@ -115,6 +115,7 @@ def posting_lists(marks: DataFrame, labels: DataFrame, filters: int, marked: int
     """``part, ids, counts, lists``: a row for each part and range of ids, with the ids of its rows (NULL:
     none), how many equal rows each stands for, and the sorted row numbers that each list holds: those of the
     rows that fail each of the ``filters`` and of copies, then those of each label of ``labels (id, bits)``."""
+    ship(marks.sparkSession)
     rows = marks.groupBy("part", "id", "digest", "fails").agg(F.count("*").alias("n"))
     firsts = marks.groupBy("digest").agg(F.min("id").alias("id")).filter("id IS NOT NULL")
     known = labels.filter("id IS NOT NULL AND bits <> 0").groupBy("id").agg(F.bit_or("bits").alias("bits"))

@@ -2,7 +2,7 @@
 
 Document frequencies are counted over all training rows, each task adding up its own before the shuffle.
 The weights are fitted by follow-the-regularised-leader with an elastic net, on at most ``sample``
-training rows for each language, chosen by a hash of the id and the text; a fifth of them is held
+training rows for each language, chosen by a hash of the id and the text, in one task; a fifth of them is held
 back to fit the temperature that calibrates the scores. Training sees features only, never whole texts.
 
 Defined results: NULL text or no letter: ``und`` with score 1. Without any labelled training row all texts
@@ -73,13 +73,12 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
         return {"feature": np.r_[ids, -1], "n": np.r_[total[ids], rows]}
 
     sums = arrow_fold(train.select("text"), "feature int, n long", count).groupBy("feature").agg(F.sum("n").alias("n"))
-    out, rows = np.zeros(1 << BITS), 0
-    for feature, n in sums.collect():  # one row for each of 2^BITS features at most
-        if feature < 0:
-            rows = n
-        else:
-            out[feature] = n
-    return out, rows
+    out = np.zeros(1 << BITS)
+    found = sums.toArrow()  # one row for each of 2^BITS features at most
+    features, counts = found["feature"].to_numpy(), found["n"].to_numpy()
+    known = features >= 0
+    out[features[known]] = counts[known]
+    return out, int(counts[~known].sum())
 
 
 def fit(train: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Identifier:
@@ -104,19 +103,37 @@ def fit(train: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Identifier:
             out["tf"].append(counts[ids])
         return out
 
-    got = arrow_map(drawn, "label string, draw double, ids array<int>, tf array<int>", features).toArrow()
-    order = np.argsort(got["draw"].to_numpy(), kind="stable")
-    labels, seen, rows_in = got["label"].to_pylist(), dict.fromkeys(languages, 0), []
-    for i in order.tolist():
-        if seen[labels[i]] < sample:
-            seen[labels[i]] += 1
-            rows_in.append(i)
+    def learn(pieces):
+        weights, heat = fitted(pieces, languages, idf, sample, epochs)
+        ids = np.flatnonzero(np.abs(weights).sum(1))
+        return {"feature": np.r_[ids, -1], "weights": [*weights[ids], np.array([heat])]}
+
+    # The bounded sample is fitted in one task; the driver gets the weights that are not zero.
+    drawn = arrow_map(drawn, "label string, draw double, ids array<int>, tf array<int>", features).repartition(1)
+    found = arrow_fold(drawn, "feature int, weights array<double>", learn).toArrow()
+    weights, heat = np.zeros((1 << BITS, len(languages))), 1.0
+    for feature, row in zip(found["feature"].to_pylist(), found["weights"].to_pylist(), strict=True):
+        if feature < 0:
+            heat = row[0]
+        else:
+            weights[feature] = row
+    return Identifier(languages, idf, weights, heat)
+
+
+def fitted(pieces, languages: list[str], idf: np.ndarray, sample: int, epochs: int) -> tuple[np.ndarray, float]:
+    """Weights and temperature from rows of features, of which the first ``sample`` a language, by draw, count."""
+    rows = []
+    for columns in pieces:
+        for label, draw, ids, tf in zip(*(columns[c] for c in ("label", "draw", "ids", "tf")), strict=True):
+            rows.append((draw, label, np.array(ids, np.int32), np.array(tf, np.int32)))
+    rows.sort(key=lambda row: (row[0], row[1], row[2].tobytes(), row[3].tobytes()))
     rng = np.random.default_rng(11)
-    data = []
-    for i in rows_in:
-        ids = np.asarray(got["ids"][i].values)
-        values = (1 + np.log(np.asarray(got["tf"][i].values))) * idf[ids]
-        data.append((ids, values / max(np.sqrt((values**2).sum()), 1e-12), languages.index(labels[i])))
+    seen, data = dict.fromkeys(languages, 0), []
+    for _, label, ids, tf in rows:
+        if seen[label] < sample:
+            seen[label] += 1
+            values = (1 + np.log(tf)) * idf[ids]
+            data.append((ids, values / max(np.sqrt((values**2).sum()), 1e-12), languages.index(label)))
     back = [x for n, x in enumerate(data) if n % 5 == 4]
     fore = [x for n, x in enumerate(data) if n % 5 != 4] or data
     model = Ftrl(1 << BITS, len(languages), l1=0.01, l2=0.01)
@@ -125,7 +142,7 @@ def fit(train: DataFrame, sample: int = SAMPLE, epochs: int = 3) -> Identifier:
             model.step(*fore[i])
     weights = model.weights()
     logits = np.array([v @ weights[i] for i, v, _ in back]).reshape(-1, len(languages))
-    return Identifier(languages, idf, weights, temperature(logits, np.array([y for *_, y in back], int)))
+    return weights, temperature(logits, np.array([y for *_, y in back], int))
 
 
 def train_identifier(docs: DataFrame, divisor: int = 4, rest: int = 2, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE) -> Identifier:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, narrow, stored
+from tontine.llm.common import arrow_map, narrow, ship, stored
 from tontine.llm.wordtokens import WordTokenizer
 
 GROUP = 16_384
@@ -183,6 +183,7 @@ def packed(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 def pack(cut: DataFrame, capacity: int = 2048, group: int = GROUP) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``. A full piece is a sequence of its own; the others
     are dealt at random into groups of about ``group`` pieces."""
+    ship(cut.sparkSession)
     names = cut.columns
     numbered = stored(cut.withColumn("piece_row", F.monotonically_increasing_id()), "pieces")
     whole = numbered.filter(F.col("length") >= capacity)

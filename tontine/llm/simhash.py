@@ -10,7 +10,7 @@ A bucket with more than ``bucket`` members is never expanded into pairs. Its mem
 another rule: two fingerprints that agree on the partition differ by at most 2 bits if and only if a
 fingerprint within one bit of both exists, so each member announces its one-bit variants in the bucket
 and is linked to the smallest member that announces the same variant. That is a fixed number of rows a
-member, whatever the size of the bucket.
+member, whatever the size of the bucket. (At radius 1 it is linked to the member that a variant is.)
 
 Defined results: NULL and empty texts have fingerprint zero and are linked like any other. Rows with the
 same id are fingerprinted each for itself. A missing id takes part, but never names a component unless
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, narrow, stored
+from tontine.llm.common import arrow_map, narrow, ship, stored
 from tontine.llm.components import components
 
 PARTITIONS = 3
@@ -132,6 +132,7 @@ def links(different: DataFrame, radius: int = RADIUS, parts: int = PARTITIONS, b
     connect all that belong together."""
     if radius > 2:
         raise ValueError("buckets are linked through one-bit variants, which holds up to radius 2")
+    ship(different.sparkSession)
     groups = correlated_partitions(different, parts)
     masks = [signed(mask_of(g)) for g in groups]
     widths = [len(g) for g in groups]
@@ -184,7 +185,7 @@ def links(different: DataFrame, radius: int = RADIUS, parts: int = PARTITIONS, b
         of_part = None
         for p, m in enumerate(masks):
             inside = F.col("fp").bitwiseAND(F.lit(signed(~m & (2**64 - 1)))).bitwiseOR(F.col("v"))
-            rest = [b for b in range(64) if b not in groups[p]] if variants and radius == 2 else []
+            rest = [b for b in range(64) if b not in groups[p]] if variants else []
             keys = F.array(inside, *[inside.bitwiseXOR(F.lit(signed(1 << b))) for b in rest])
             of_part = F.when(F.col("p") == p, keys) if of_part is None else of_part.when(F.col("p") == p, keys)
         return rows.select("p", "fp", F.explode(of_part).alias("variant"))
@@ -192,6 +193,11 @@ def links(different: DataFrame, radius: int = RADIUS, parts: int = PARTITIONS, b
     large = counted.filter(F.col("members") > bucket)
     outside = probing.filter((F.col("members") > bucket) & (F.col("fp").bitwiseAND(_mask(masks)) != F.col("v")))
     variants = stored(announced(large, True).unionByName(announced(outside, False)), "variants")
+    if radius < 2:
+        # A variant links its announcer only to the member that it is itself; radius 0 links none.
+        itself = variants.filter("fp = variant").select("p", "variant")
+        met = variants.filter("fp <> variant").join(itself, ["p", "variant"])
+        return pairs.unionByName(met.filter(F.lit(radius == 1)).select(F.col("fp").alias("a"), F.col("variant").alias("b")))
     lowest = variants.groupBy("p", "variant").agg(F.min("fp").alias("b"), F.count("*").alias("n")).filter("n > 1")
     stars = variants.join(lowest.drop("n"), ["p", "variant"]).filter("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(stars)
