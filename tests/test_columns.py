@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tontine.functions import (
@@ -7,6 +8,7 @@ from tontine.functions import (
     adjacent_difference,
     banded,
     calendar_month,
+    distinct,
     json_field,
     json_number,
     list_product,
@@ -18,6 +20,15 @@ from tontine.functions import (
 )
 
 
+def test_sketched_distinct_counts(spark):
+    df = spark.range(60_000).selectExpr("id % 3 k", "id % 20000 v", "cast(null as long) n")
+    got = df.groupBy("k").agg(distinct("v").alias("exact"), distinct("v", "sketch").alias("sketch"), distinct("n", "sketch").alias("none"))
+    for r in got.collect():
+        assert r.exact == 20_000 and abs(r.sketch - r.exact) <= 400 and r.none == 0
+    with pytest.raises(ValueError):
+        distinct("v", "other")
+
+
 def test_ratio_is_null_without_a_denominator(spark):
     df = spark.createDataFrame(
         [(Decimal("1.00"), Decimal("3.00")), (Decimal("1.00"), Decimal("0.00")), (Decimal("1.00"), None)],

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -88,6 +89,40 @@ def test_unknown_line_has_the_default_rate(spark):
     assert one(derive.with_discount_rates(df, {"Marine": 0.01}))["discount_rate"] == 0.01
 
 
+def test_history_of_contract_groups(spark):
+    """Against counting the claims known at each valuation."""
+    rng = random.Random(4)
+    rows = [
+        {
+            "claim_id": i, "policy_id": rng.randint(1, 25), "accident_year": y, "line_of_business": rng.choice(["Motor", "Life"]),
+            "accident_date": f"{y}-05-01", "report_date": rng.choice([f"{y}-06-30", f"{y}-12-31", f"{y + 1}-01-01", f"{y + 1}-11-30", f"{y + 1}-12-01", f"{y + 2}-01-01", None]),
+            "incurred_amount": i, "paid_amount": 1, "outstanding_reserve": i - 1,
+        }
+        for i, y in enumerate(rng.choices([2020, 2021], k=120), 1)
+    ]
+    valuations = [(12, 12), (24, 23), (24, 24)]
+    expected = {}
+    for row in rows:
+        for valued, known in valuations:
+            if row["report_date"] is None:
+                continue
+            year, month, _ = map(int, row["report_date"].split("-"))
+            if (year - row["accident_year"]) * 12 + month <= known:
+                key = (row["line_of_business"], row["accident_year"], valued, known)
+                expected.setdefault(key, []).append(row)
+    got = dicts(derive.contract_group_history(claims(spark, *rows), valuations))
+    found = sorted(
+        (r["line_of_business"], r["cohort_year"], str(r["valuation_date"]), r["policy_count"], r["claim_count"], int(r["total_incurred"]), int(r["total_outstanding"]))
+        for r in got
+    )
+    assert found == sorted(
+        (line, year, f"{year + valued // 12 - 1}-12-31", len({r["policy_id"] for r in held}), len(held), sum(r["incurred_amount"] for r in held), sum(r["outstanding_reserve"] for r in held))
+        for (line, year, valued, _), held in expected.items()
+    )
+    assert {r["contract_group_id"] for r in got} >= {"Motor_CA_2020"}
+    assert derive.contract_group_history(claims(spark, {"report_date": "2031-01-01"}), valuations).count() == 0
+
+
 def test_missing_values_stay_missing(spark):
     df = spark.sql("select date'2021-01-31' a, cast(null as date) r, 5.0BD x, cast(null as decimal(18,2)) y")
     row = df.select(

@@ -1,8 +1,10 @@
 import random
+import re
 from decimal import Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tontine.functions import distribution
 
@@ -80,6 +82,26 @@ def test_large_close_values_keep_their_deviation(spark):
     assert got.deviation == pytest.approx(0.01, rel=1e-9)
 
 
+def test_values_are_moved_once_and_never_by_the_group_alone(spark):
+    df = spark.range(2000).selectExpr("id % 3 k", "cast(id * 1.37 as decimal(18,2)) x")
+    plan = distribution(df, ["k"], "x", {"p50": 0.5, "p95": 0.95})._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)[^\n]*\n[^\n]*HashAggregate\(keys=\[([^\]]*)\]", plan)
+    values = [by for by, keys in moved if "cents__" in keys]
+    assert len(values) == 1 and "cents__" in values[0] and "start__" in values[0]
+    # The source's rows reach an exchange only as counts by bin or by value.
+    for line in plan.split("Exchange ")[1:]:
+        below = line.split("\n")[1]
+        assert "Generate" not in below and "Range" not in below
+
+
+def test_many_groups(spark):
+    """More bins than the bitmaps have places would only let more rows through."""
+    df = spark.range(60_000).selectExpr("id % 20000 k", "cast(id * 7919 % 1000003 * 0.01 as decimal(18,2)) x")
+    got = distribution(df, ["k"], "x", {"p50": 0.5})
+    exact = df.groupBy("k").agg(F.median("x").cast("double").alias("m"))
+    assert got.join(exact, "k").filter("abs(p50 - m) > 1e-9").count() == 0 and got.count() == 20_000
+
+
 def test_defining_starts_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     df = spark.range(100).selectExpr("id % 3 k", "cast(id as decimal(18,2)) x")

@@ -28,6 +28,7 @@ CASES = [
     ("reserves", reserves, RESERVES, rollups.ifrs17_reporting),
     ("reserves", reserves, RESERVES, rollups.csm_movements),
     ("reserves", reserves, RESERVES, rollups.reserve_latest),
+    ("claims", claims, CLAIMS, rollups.active_policies),
 ]
 IDS = [case[3].__name__ for case in CASES]
 
@@ -92,6 +93,25 @@ def test_latest_does_not_depend_on_arrival(spark):
         assert row["latest_outstanding"] == 3 and row["valuation_count"] == 3
 
 
+def test_a_tie_of_dates_is_decided_by_the_record(spark):
+    same = [{"valuation_date": "2021-12-31", "reserve_adequacy_ratio": a, "total_outstanding": o} for a, o in ((0.5, 9), (0.7, 1), (0.7, 4))]
+    for rows in (same, same[::-1]):
+        row = one(rollups.reserve_latest().batch(reserves(spark, *rows)))
+        assert (float(row["latest_adequacy_ratio"]), row["latest_outstanding"], row["valuation_count"]) == (0.7, 4, 3)
+
+
+def test_sketches_merge_over_batches(spark):
+    """20,000 policies, half of them in both parts, in batches and after compaction."""
+    rollup, source, target = rollups.active_policies(), scratch_path(spark, "in"), scratch_path(spark, "out")
+    row = claims(spark, {"claim_number": "c"}).drop("policy_id")
+    first, second = (row.join(spark.range(a, b).withColumnRenamed("id", "policy_id")).select(claims(spark).columns) for a, b in ((0, 15_000), (5_000, 20_000)))
+    for part in (first, second, second.limit(100)):
+        write_table(part, "claims", source)
+    stream = read_table_stream(spark, "claims", source, max_files_per_trigger=1)
+    got = one(incremental.run(rollup, stream, target, compact_every=2))
+    assert got["claim_count"] == 30_100 and abs(got["policy_estimate"] - 20_000) <= 400
+
+
 def test_averages_are_not_added_up(spark):
     rollup = rollups.monthly_claims()
     part = rollup.partial(claims(spark, *CLAIMS))

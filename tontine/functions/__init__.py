@@ -5,6 +5,8 @@ from tontine.functions.columns import (
     banded,
     calendar_month,
     dbl,
+    distinct,
+    distinct_sketch,
     json_field,
     json_number,
     list_product,
@@ -24,6 +26,8 @@ __all__ = [
     "banded",
     "calendar_month",
     "dbl",
+    "distinct",
+    "distinct_sketch",
     "distribution",
     "json_field",
     "json_number",

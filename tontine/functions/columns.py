@@ -32,6 +32,25 @@ def total(c) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
+#: Of a sketch: 2^14 registers of 6 bits, a standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
+def distinct(c, method: str = "exact") -> Column:
+    """Aggregate: number of distinct values. ``method='sketch'`` estimates it in bounded space."""
+    if method == "exact":
+        return F.count_distinct(c)
+    if method != "sketch":
+        raise ValueError(f"unknown method {method!r}")
+    return F.hll_sketch_estimate(distinct_sketch(c))
+
+
+def distinct_sketch(c) -> Column:
+    """Aggregate: a sketch of the distinct values. Unlike their number, sketches of parts can be merged
+    (``hll_union_agg``) and then estimated (``hll_sketch_estimate``)."""
+    return F.hll_sketch_agg(c, SKETCH_BITS)
+
+
 def sum_where(c, condition: Column) -> Column:
     """Conditional sum, 0 when no row matches."""
     return total(F.when(condition, _col(c)))

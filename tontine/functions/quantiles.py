@@ -1,10 +1,14 @@
 """Exact grouped quantiles of a money column, for groups of any size, in one lazy plan.
 
-``percentile`` keeps every distinct value of a group in one task. Here the rows are counted
-once by group and value, combined before the shuffle, and everything else is read from that
-one exchange. Ranks are located level by level: among coarse bins of the values, among the
-finer bins of the bin found, and at last among its values. A task orders at most the bins of
-a bin, ``2^20`` with the levels below, however many rows or values the group has.
+``percentile`` keeps every distinct value of a group in one task. Here a histogram comes first: each task counts its
+rows by group and bin, and the counts are added up by group and bin. The values of a bin share their first four
+digits, so a group has some ten thousand bins for each power of ten, whatever its size, and the bins of a group say in
+which of them each wanted rank lies. Only the values of these bins are moved: the wanted bins are marked in bitmaps of a fixed size, which are
+broadcast to filter the rows at their source; what passes is counted by value, combined before its one shuffle, and
+each bin's values are ordered by themselves. Nothing is hashed by the group's keys alone but its bins.
+
+The bitmaps have two million places, so with very many groups they let more rows through; the join with the wanted
+bins that follows is exact. A bin has at most a million distinct values for amounts below 10^10 cents.
 """
 
 from __future__ import annotations
@@ -16,10 +20,13 @@ from pyspark.sql import functions as F
 
 from tontine.functions.columns import dbl, ratio
 
-# Bits of the values that the bins of each level leave out; the last level is the values.
-LEVELS = (40, 20, 0)
-# The level whose bins carry the moments: their offsets stay exact when squared and summed.
-MOMENT_BITS = 20
+# Leading digits that values of one bin share; shorter values are bins of their own.
+DIGITS = 4
+# A long has at most 19 digits.
+WIDTHS = [10 ** max(0, digits - DIGITS) for digits in range(1, 20)]
+
+# The wanted bins are marked in bitmaps of 32,768 places: fixed numbers, whatever the number of groups.
+PAGES = 64
 
 EXACT = "decimal(38,0)"
 
@@ -32,42 +39,39 @@ def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"{k}__w" for k in keys})
 
 
-def _within(values: DataFrame, wanted: DataFrame, keys: list[str], above: str | None, bits: int) -> DataFrame:
-    """The bins of one level that hold the wanted ranks, with the ranks counted within them."""
-    bin_name = f"bin_{bits}__"
-    inside = [*keys, above] if above else keys
-    asked = _renamed(
-        wanted.groupBy(*inside).agg(F.collect_list(F.struct("slot__", "rank__")).alias("asked__")), inside
-    )
-    if above:
-        values = values.withColumn(above, F.shiftright("cents__", int(above.split("_")[1])))
-    sizes = (
-        values.withColumn(bin_name, F.shiftright("cents__", bits))
-        .join(asked, _same(inside, values, asked))
-        .groupBy(*inside, bin_name)
-        .agg(F.sum("n__").alias("n__"), F.first("asked__").alias("asked__"))
-    )
-    ordered = Window.partitionBy(*inside).orderBy(bin_name).rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("n__").over(ordered)
-    placed = sizes.select(*keys, bin_name, "asked__", upto.alias("upto__"), (upto - F.col("n__")).alias("from__"))
-    held = F.filter("asked__", lambda a: (a["rank__"] >= F.col("from__")) & (a["rank__"] < F.col("upto__")))
-    return placed.select(*keys, bin_name, "from__", F.explode(held).alias("held__")).select(
-        *keys, bin_name, F.col("held__.slot__"), (F.col("held__.rank__") - F.col("from__")).alias("rank__")
+def bin_start(cents: str) -> Column:
+    """The least value of the bin. Bins follow each other in the order of their values."""
+    widths = ", ".join(f"{w}L" for w in WIDTHS)
+    width = f"element_at(array({widths}), length(cast(abs({cents}) as string)))"
+    return F.expr(f"{cents} - pmod({cents}, {width})")
+
+
+def _placed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """With the bitmap ``page__`` that a group's bin belongs to, and its ``place__`` there."""
+    hashed = F.xxhash64(*keys, "start__")
+    return rows.withColumns({"page__": F.pmod(hashed, F.lit(PAGES)), "place__": F.bitmap_bit_position(F.shiftright(hashed, 8))})
+
+
+def _histogram(values: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows, and exact sums of the offsets and of their squares, for each bin; ``from__`` and ``upto__`` are the
+    ranks of its rows within the group."""
+    offset = (F.col("cents__") - F.col("start__")).cast("decimal(18,0)")
+    bins = values.groupBy(*keys, "start__").agg(
+        F.count(F.lit(1)).alias("n__"),
+        F.sum(offset).cast(EXACT).alias("off__"),
+        F.sum((offset * offset).cast(EXACT)).alias("off2__"),
     )
+    # Always true. Every use of the histogram now needs all its sums, so that all can read one exchange of them.
+    bins = bins.where("off__ IS NOT NULL AND off2__ IS NOT NULL")
+    upto = F.sum("n__").over(Window.partitionBy(*keys).orderBy("start__").rowsBetween(Window.unboundedPreceding, 0))
+    return bins.withColumns({"upto__": upto, "from__": upto - F.col("n__")})
 
 
-def _moments(values: DataFrame, keys: list[str]) -> DataFrame:
+def _moments(bins: DataFrame, keys: list[str]) -> DataFrame:
     """``n``, exact ``sum__`` of the cents, ``mean__`` and ``variance__``. Squares are summed as
     exact offsets within bins, and between bins as distances from the group's mean."""
-    base = F.shiftleft(F.shiftright("cents__", MOMENT_BITS), MOMENT_BITS)
-    n, offset = F.col("n__").cast(EXACT), (F.col("cents__") - base).cast("decimal(8,0)")
-    bins = values.groupBy(*keys, base.alias("start__")).agg(
-        F.sum("n__").alias("n__"),
-        F.sum((offset * n).cast(EXACT)).alias("off__"),
-        F.sum((offset * offset * n).cast(EXACT)).alias("off2__"),
-    )
     in_group = Window.partitionBy(*keys)
-    whole = (F.col("start__").cast("decimal(19,0)") * F.col("n__").cast(EXACT) + F.col("off__")).cast(EXACT)
+    whole = (F.col("start__").cast("decimal(19,0)") * F.col("n__").cast("decimal(19,0)") + F.col("off__")).cast(EXACT)
     known = (
         bins.withColumn("sum__", F.sum(whole).over(in_group))
         .withColumn("size__", F.sum("n__").over(in_group))
@@ -84,38 +88,62 @@ def _moments(values: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Per group: ``n``, ``total``, ``mean``, ``deviation`` (population) and the quantiles.
-
-    ``value`` must be decimal with two places; NULLs are left out. Quantiles are interpolated
-    linearly between the neighbouring ranks.
-    """
-    cents = df.where(F.col(value).isNotNull()).select(
-        *keys, (F.col(value) * 100).cast("long").alias("cents__")
-    )
-    values = cents.groupBy(*keys, "cents__").agg(F.count(F.lit(1)).alias("n__"))
-    moments = _moments(values, keys)
-
-    # The ranks that each quantile needs.
+def _asked(bins: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
+    """The bins that hold wanted ranks, with these ranks counted within the bin."""
+    size = F.sum("n__").over(Window.partitionBy(*keys))
     ranks = []
     for name, q in quantiles.items():
-        position = (F.col("n") - 1) * F.lit(float(q))
+        position = (F.col("size__") - 1) * F.lit(float(q))
         ranks.append(F.struct(F.lit(f"{name}__lo").alias("slot"), F.floor(position).alias("rank")))
         ranks.append(F.struct(F.lit(f"{name}__hi").alias("slot"), F.ceil(position).alias("rank")))
-    wanted = moments.select(*keys, F.explode(F.array(*ranks)).alias("want")).select(
-        *keys, F.col("want.slot").alias("slot__"), F.col("want.rank").alias("rank__")
+    here = F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("from__")) & (r["rank"] < F.col("upto__")))
+    within = F.transform(here, lambda r: F.struct(r["slot"].alias("slot"), (r["rank"] - F.col("from__")).alias("rank")))
+    return bins.withColumn("size__", size).select(*keys, "start__", within.alias("asked__")).where(F.size("asked__") > 0)
+
+
+def _picked(values: DataFrame, asked: DataFrame, keys: list[str], slots: list[str]) -> DataFrame:
+    """The values at the asked ranks, one column for each slot, per group."""
+    octets = F.transform(
+        F.sequence(F.lit(1), F.length("bits__")),
+        lambda i: F.conv(F.hex(F.substring(F.col("bits__"), i, F.lit(1))), 16, 10).cast("int"),
     )
-    above = None
-    for bits in LEVELS:
-        wanted = _within(values, wanted, keys, above, bits)
-        above = f"bin_{bits}__"
-    picked = wanted.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys]).agg(
-        *[
-            F.max(F.when(F.col("slot__") == f"{name}__{end}", F.col(above))).alias(f"{name}__{end}")
-            for name in quantiles
-            for end in ("lo", "hi")
-        ]
+    pages = (
+        _placed(asked, keys).groupBy(F.col("page__").alias("page__w"))
+        .agg(F.bitmap_construct_agg("place__").alias("bits__"))
+        .select("page__w", octets.alias("octets__"))
+    )
+    rows = _placed(values, keys).join(F.broadcast(pages), F.col("page__") == F.col("page__w"))
+    octet = F.get("octets__", F.shiftright("place__", 3).cast("int"))
+    wanted = F.call_function("shiftright", octet, (F.col("place__") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    counted = rows.where(wanted).groupBy(*keys, "start__", "cents__").agg(F.count(F.lit(1)).alias("n__"))
+    inside = [*keys, "start__"]
+    of_bin = _renamed(asked, inside)
+    held = counted.join(of_bin, _same(inside, counted, of_bin))
+    ordered = Window.partitionBy(*inside).orderBy("cents__").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("n__").over(ordered)
+    placed = held.select(*keys, "cents__", "asked__", upto.alias("upto__"), (upto - F.col("n__")).alias("from__"))
+    found = F.filter("asked__", lambda a: (a["rank"] >= F.col("from__")) & (a["rank"] < F.col("upto__")))
+    rows = placed.select(*keys, "cents__", F.explode(found).alias("found__"))
+    return rows.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys]).agg(
+        *[F.max(F.when(F.col("found__.slot") == slot, F.col("cents__"))).alias(slot) for slot in slots]
     )
+
+
+def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """Per group: ``n``, ``total``, ``mean``, ``deviation`` (population) and the quantiles.
+
+    ``value`` must be decimal with two places; NULLs are left out. Quantiles are interpolated
+    linearly between the neighbouring ranks.
+    """
+    # The cents are used several times below: a generator keeps the optimiser from repeating how they are derived,
+    # in generated methods too long for the JVM to compile.
+    once = F.explode_outer(F.array((F.col(value) * 100).cast("long")))
+    cents = df.select(*keys, once.alias("cents__")).where("cents__ IS NOT NULL")
+    values = cents.select("*", bin_start("cents__").alias("start__"))
+    bins = _histogram(values, keys)
+    moments = _moments(bins, keys)
+    slots = [f"{name}__{end}" for name in quantiles for end in ("lo", "hi")]
+    picked = _picked(values, _asked(bins, keys, quantiles), keys, slots)
     joined = moments.join(picked, _same(keys, moments, picked))
 
     def interpolated(name: str, q: float) -> Column:

@@ -71,6 +71,47 @@ def contract_groups(claims: DataFrame) -> DataFrame:
     )
 
 
+def contract_group_history(claims: DataFrame, valuations: list[tuple[int, int]]) -> DataFrame:
+    """Contract groups as they were known at several valuations, with their ``valuation_date``.
+
+    A valuation is a number of months from the start of the cohort's year, at whose end the group is valued, and
+    the number of months whose reports it knows (fewer: a preliminary one, of the same date as its final). Claims
+    reported later are left out of it, and a group without a known claim has none. The claims are summed once per
+    policy for all valuations together, so that the distinct policies of a hot group are spread over its policies.
+    """
+    start = F.make_date("accident_year", F.lit(1), F.lit(1))
+    reported = (F.year("report_date") - F.col("accident_year")) * 12 + F.month("report_date")
+    amounts = {
+        "incurred_amount": "total_incurred",
+        "paid_amount": "total_paid",
+        "outstanding_reserve": "total_outstanding",
+    }
+    per_policy, per_group, known_at = [], [], []
+    for i, (valued, known) in enumerate(valuations):
+        seen = reported <= known
+        per_policy += [F.count_if(seen).alias(f"n_{i}"), *[F.sum(F.when(seen, F.col(c))).alias(f"{c}_{i}") for c in amounts]]
+        per_group += [
+            F.count_if(F.col(f"n_{i}") > 0).alias(f"policies_{i}"),
+            F.sum(f"n_{i}").alias(f"n_{i}"),
+            *[F.sum(f"{c}_{i}").cast(MONEY).alias(f"{c}_{i}") for c in amounts],
+        ]
+        known_at.append(
+            F.struct(
+                F.last_day(F.add_months(F.col("start"), valued - 1)).alias("valuation_date"),
+                F.col(f"policies_{i}").alias("policy_count"),
+                F.col(f"n_{i}").alias("claim_count"),
+                *[F.col(f"{c}_{i}").alias(name) for c, name in amounts.items()],
+            )
+        )
+    keys = ["line_of_business", "geography", F.col("accident_year").alias("cohort_year"), start.alias("start")]
+    groups = claims.groupBy(*keys, "policy_id").agg(*per_policy).groupBy(*GROUP_KEYS, "start").agg(*per_group)
+    return (
+        groups.select(*GROUP_KEYS, F.inline(F.array(*known_at)))
+        .where("claim_count > 0")
+        .withColumn("contract_group_id", F.concat_ws("_", *GROUP_KEYS))
+    )
+
+
 # Reserve measures ----------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.functions import above, dbl, json_number, mean, ratio
+from tontine.functions import above, dbl, distinct, json_number, mean, ratio
 
 
 def _rounded_sum(c: str, name: str):
@@ -198,7 +198,8 @@ def risk_adjustment(reserves: DataFrame, *, high: float = 0.10, moderate: float
     )
 
 
-def reserves_profile(reserves: DataFrame) -> DataFrame:
+def reserves_profile(reserves: DataFrame, *, method: str = "exact") -> DataFrame:
+    """Size of the reserve table. ``method='sketch'`` estimates the distinct counts."""
     return (
         reserves.groupBy("line_of_business", "cohort_year", "profitability_class")
         .agg(
@@ -210,9 +211,9 @@ def reserves_profile(reserves: DataFrame) -> DataFrame:
             F.sum("n").alias("contract_groups_processed"),
             F.sum("csm").alias("total_csm_calculated"),
             F.sum("loss").alias("total_loss_component_calculated"),
-            F.count_distinct("line_of_business").alias("lines_analyzed"),
-            F.count_distinct("cohort_year").alias("cohort_years_analyzed"),
-            F.count_distinct("profitability_class").alias("profitability_classes"),
+            distinct("line_of_business", method).alias("lines_analyzed"),
+            distinct("cohort_year", method).alias("cohort_years_analyzed"),
+            distinct("profitability_class", method).alias("profitability_classes"),
         )
     )
 

@@ -10,6 +10,7 @@ from tontine.functions import (
     banded,
     calendar_month,
     dbl,
+    distinct,
     distribution,
     json_field,
     mean,
@@ -290,7 +291,8 @@ def risk_metrics(
     )
 
 
-def reserve_profile(claims: DataFrame) -> DataFrame:
+def reserve_profile(claims: DataFrame, *, method: str = "exact") -> DataFrame:
+    """Size of the reserves. ``method='sketch'`` estimates the distinct counts."""
     return (
         claims.where(F.col("outstanding_reserve") > 0)
         .groupBy("line_of_business", "accident_year", "geography")
@@ -298,9 +300,9 @@ def reserve_profile(claims: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("claims_analyzed"),
             F.sum("reserve").alias("total_reserves_calculated"),
-            F.count_distinct("line_of_business").alias("lines_analyzed"),
-            F.count_distinct("accident_year").alias("accident_years_analyzed"),
-            F.count_distinct("geography").alias("geographies_analyzed"),
+            distinct("line_of_business", method).alias("lines_analyzed"),
+            distinct("accident_year", method).alias("accident_years_analyzed"),
+            distinct("geography", method).alias("geographies_analyzed"),
         )
     )
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tontine.functions import calendar_month, ratio
+from tontine.functions import calendar_month, distinct_sketch, ratio
 
 
 @dataclass(frozen=True)
@@ -101,6 +101,18 @@ def monthly_claims() -> Rollup:
     )
 
 
+def active_policies() -> Rollup:
+    """Claims, and about how many different policies they belong to, per accident year, line and geography.
+
+    Distinct counts of parts can't be added up, so the parts keep sketches of the policies."""
+    return Rollup(
+        keys=_cols("accident_year", "line_of_business", "geography"),
+        measures={"claim_count": _count(), "policies": distinct_sketch("policy_id")},
+        merge_with={"policies": F.hll_union_agg},
+        output={"claim_count": F.col("claim_count"), "policy_estimate": F.hll_sketch_estimate("policies")},
+    )
+
+
 def policy_geography() -> Rollup:
     """Policies, exposure and premium per geography, line and policy year."""
     return Rollup(

@@ -16,6 +16,7 @@ from tontine.functions import (
     as_date,
     banded,
     dbl,
+    distinct,
     list_product,
     ordered_values,
     ratio,
@@ -233,16 +234,16 @@ def triangle_by_line(
     return ordered if limit is None else ordered.limit(limit)
 
 
-def claims_profile(claims: DataFrame) -> DataFrame:
+def claims_profile(claims: DataFrame, *, method: str = "exact") -> DataFrame:
     """Size of the claims table. The distinct counts run over one row per combination, so
-    no claim is expanded once per counted column."""
+    no claim is expanded once per counted column. ``method='sketch'`` estimates them."""
     return (
         claims.groupBy("accident_year", "line_of_business")
         .agg(F.count(F.lit(1)).alias("n"), F.max("development_month").alias("month"))
         .agg(
             F.sum("n").alias("total_claims_processed"),
-            F.count_distinct("accident_year").alias("accident_years"),
+            distinct("accident_year", method).alias("accident_years"),
             F.max("month").alias("max_development_period"),
-            F.count_distinct("line_of_business").alias("lines_of_business"),
+            distinct("line_of_business", method).alias("lines_of_business"),
         )
     )

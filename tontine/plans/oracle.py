@@ -112,17 +112,34 @@ WITH described AS (
 """
 
 
+def _with_history(fixture: str) -> str:
+    """The reserve table with several valuations of each group, from the claims reported by then."""
+    known = "(year(report_date) - accident_year) * 12 + month(report_date) <= known"
+    changes = {
+        "FROM claims GROUP BY ALL": f"FROM claims JOIN (VALUES (12, 12), (18, 18), (24, 23), (24, 24)) AS v(valued, known) ON {known} GROUP BY ALL",
+        "count(DISTINCT policy_id) AS policy_count": "valued, known, count(DISTINCT policy_id) AS policy_count",
+        "CAST(last_day(DATE '2001-03-01' + to_months(CAST(3 * q AS INTEGER))) AS DATE)": "CAST(last_day(make_date(cohort_year, 1, 1) + to_months(CAST(valued - 1 AS INTEGER))) AS DATE)",
+    }
+    for old, new in changes.items():
+        assert fixture.count(old) == 1
+        fixture = fixture.replace(old, new)
+    return fixture
+
+
+HISTORY = _with_history(FIXTURE)
+
+
 def _over(a: str, b: str, digits: int | None = None) -> str:
     quotient = f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
     return f"({quotient})" if digits is None else f"round({quotient}, {digits})"
 
 
-def _typed(columns: str, body: str) -> str:
+def _typed(columns: str, body: str, fixture: str = FIXTURE) -> str:
     chosen = []
     for item in columns.split():
         name, kind = item.split(":")
         chosen.append(f"CAST({name} AS {_KINDS[kind]}) AS {name}")
-    return f"{FIXTURE}SELECT {', '.join(chosen)} FROM (\n{body.strip()}\n)"
+    return f"{fixture}SELECT {', '.join(chosen)} FROM (\n{body.strip()}\n)"
 
 
 def _text(values: str) -> str:
@@ -607,6 +624,7 @@ SELECT line_of_business, geography, cohort_year, count(*) AS onerous_contract_gr
   {units} AS total_coverage_units, {_over(loss, units, 2)} AS loss_per_coverage_unit
 FROM reserves WHERE profitability_class = 'Onerous' GROUP BY 1, 2, 3
 """,
+            HISTORY,
         ),
         "discount_sensitivity": _typed(
             "line_of_business:s base_pv_claims:d base_pv_premiums:d base_net_margin:d "
@@ -1017,18 +1035,26 @@ SELECT valuation_date, line_of_business, geography, profitability_class, sum(ini
   count(*) AS contract_group_count
 FROM reserves GROUP BY 1, 2, 3, 4
 """,
+        HISTORY,
     )
     latest = _typed(
         "line_of_business:s geography:s cohort_year:i latest_valuation:s latest_adequacy_ratio:d "
         "latest_outstanding:d latest_pv_claims:d valuation_count:i",
         """
-SELECT line_of_business, geography, cohort_year, max(valuation_date) AS latest_valuation,
-  arg_max(reserve_adequacy_ratio, valuation_date) AS latest_adequacy_ratio,
-  arg_max(total_outstanding, valuation_date) AS latest_outstanding,
-  arg_max(pv_claims, valuation_date) AS latest_pv_claims, count(*) AS valuation_count
-FROM reserves GROUP BY 1, 2, 3
+SELECT line_of_business, geography, cohort_year, valuation_date AS latest_valuation,
+  reserve_adequacy_ratio AS latest_adequacy_ratio, total_outstanding AS latest_outstanding, pv_claims AS latest_pv_claims,
+  count(*) OVER (PARTITION BY line_of_business, geography, cohort_year) AS valuation_count
+FROM reserves
+QUALIFY row_number() OVER (PARTITION BY line_of_business, geography, cohort_year
+  ORDER BY valuation_date DESC, reserve_adequacy_ratio DESC, total_outstanding DESC, pv_claims DESC) = 1
 """,
+        HISTORY,
     )
+    active = f"""{FIXTURE}
+SELECT CAST(accident_year AS BIGINT) AS accident_year, line_of_business, geography, count(*) AS claim_count,
+  count(DISTINCT policy_id) AS policy_count, true AS estimate_agrees
+FROM claims GROUP BY 1, 2, 3
+"""
     return {
         "rollup_triangle_proj": triangle("cumulative_paid", "cumulative_incurred"),
         "rollup_triangle": triangle("total_paid", "total_incurred"),
@@ -1060,6 +1086,8 @@ FROM reserves GROUP BY 1, 2, 3
         "stream_csm": csm,
         "reserve_latest": latest,
         "stream_reserve_latest": latest,
+        "rollup_active_policies": active,
+        "stream_active_policies": active,
     }
 
 

@@ -7,6 +7,7 @@ policies), so thresholds and dates are passed here.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,21 +162,31 @@ FILES_IN_BATCH = {"claims": 3, "policies": 30, "reserves": 1}
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(table: str, source: Query) -> Query:
+def _stored(name: str, source: Query, table: str | None = None) -> Query:
     """The table in its layout on shared storage, written by the first query of the session that needs
     it (the ``load_*`` queries show what that costs) and read by all."""
 
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir, table)
+        key = (spark.sparkContext.applicationId, sf_dir, name)
         if key not in _STORED:
-            path = scratch_path(spark, f"stored-{table}")
-            tables.write_table(source(spark, sf_dir), table, path)
+            path = scratch_path(spark, f"stored-{name}")
+            tables.write_table(source(spark, sf_dir), table or name, path)
             _STORED[key] = path
-        return tables.read_table(spark, table, _STORED[key])
+        return tables.read_table(spark, table or name, _STORED[key])
 
     return read
 
 
+def _loads_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reserve history as a stream of two loads, the later valuations of each group first."""
+    path = scratch_path(spark, "stream-history")
+    history = _stored("history", star.reserve_history, "reserves")(spark, sf_dir)
+    late = F.year("valuation_date") == F.col("cohort_year")
+    for load in (history.where(~late), history.where(late)):
+        tables.write_table(load, "reserves", path)
+    return tables.read_table_stream(spark, "reserves", path, max_files_per_trigger=FILES_IN_BATCH["reserves"])
+
+
 def _insertions(table: str, source: Query) -> Query:
     """A table's files as a stream. The rows are stored first, as an insert would do, so
     the joins behind them run as a batch; the stream itself joins nothing."""
@@ -199,13 +210,38 @@ def _streamed(source: Query, rollup: Callable[[], rollups.Rollup]) -> Query:
 
 _policy_insertions = _insertions("policies", star.policies)
 _claim_insertions = _insertions("claims", star.claims)
-_reserve_insertions = _insertions("reserves", star.reserves)
 
 
 _stored_claims = _over(_stored("claims", star.claims))
 _stored_reserves = _over(_stored("reserves", star.reserves))
 
 
+_history = _over(star.reserve_history)
+
+
+ACTIVE_KEYS = ["accident_year", "line_of_business", "geography"]
+
+
+def _agreement(counted: DataFrame) -> DataFrame:
+    """Exact numbers of policies, and whether the estimates are within five standard errors of them."""
+    near = F.abs(F.col("policy_estimate") - F.col("policy_count")) <= 0.04 * F.col("policy_count")
+    return counted.select(*ACTIVE_KEYS, "claim_count", "policy_count", near.alias("estimate_agrees"))
+
+
+def _active_policies(claims: DataFrame) -> DataFrame:
+    """The rollup with one measure more, which can't be merged but is exact."""
+    rollup, exact = rollups.active_policies(), {"policy_count": F.count_distinct("policy_id")}
+    both = replace(rollup, measures=rollup.measures | exact, output=rollup.output | {"policy_count": F.col("policy_count")})
+    return _agreement(both.batch(claims))
+
+
+def _streamed_active_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged sketches of the batches, beside exact counts of the claims."""
+    estimates = _streamed(_claim_insertions, rollups.active_policies)(spark, sf_dir)
+    exact = star.claims(spark, sf_dir).groupBy(*ACTIVE_KEYS).agg(F.count_distinct("policy_id").alias("policy_count"))
+    return comparable(_agreement(estimates.join(exact, ACTIVE_KEYS)))
+
+
 def _rollup(inputs, rollup: Callable[[], rollups.Rollup]) -> Query:
     return inputs(lambda rows: rollup().batch(rows))
 
@@ -244,7 +280,7 @@ def queries() -> dict[str, Query]:
         "ifrs_summary": _reserves(ifrs17.summary),
         "csm_movements": _reserves(ifrs17.csm_movements),
         "csm_movement_rows": _reserves(ifrs17.csm_movement_rows),
-        "onerous_contracts": _reserves(ifrs17.onerous_contracts),
+        "onerous_contracts": _history(ifrs17.onerous_contracts),
         "discount_sensitivity": _reserves(ifrs17.discount_sensitivity),
         "cohort_profitability": _reserves(ifrs17.cohort_profitability),
         "coverage_units": _reserves(ifrs17.coverage_units),
@@ -279,8 +315,9 @@ def queries() -> dict[str, Query]:
         "rollup_policy_geo": _rollup(_policies, rollups.policy_geography),
         "rollup_policy_daily": _rollup(_policies, rollups.policy_daily),
         "rollup_ifrs17": _rollup(_reserves, rollups.ifrs17_reporting),
-        "rollup_csm_movements": _rollup(_reserves, rollups.csm_movements),
-        "reserve_latest": _rollup(_reserves, rollups.reserve_latest),
+        "rollup_csm_movements": _rollup(_history, rollups.csm_movements),
+        "reserve_latest": _rollup(_history, rollups.reserve_latest),
+        "rollup_active_policies": _claims(_active_policies),
         # Derivation of claims attributes and reserves
         "derive_dev_month": _facts(
             _claim_rule("month", lambda: derive.development_month("accident_date", "report_date"))
@@ -334,6 +371,7 @@ def queries() -> dict[str, Query]:
         "stream_triangle": _streamed(_claim_insertions, rollups.triangle),
         "stream_monthly_claims": _streamed(_claim_insertions, rollups.monthly_claims),
         "stream_policy_daily": _streamed(_policy_insertions, rollups.policy_daily),
-        "stream_csm": _streamed(_reserve_insertions, rollups.csm_movements),
-        "stream_reserve_latest": _streamed(_reserve_insertions, rollups.reserve_latest),
+        "stream_csm": _streamed(_loads_out_of_order, rollups.csm_movements),
+        "stream_reserve_latest": _streamed(_loads_out_of_order, rollups.reserve_latest),
+        "stream_active_policies": _streamed_active_policies,
     }

@@ -224,5 +224,17 @@ def contract_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.contract_groups(claims(spark, sf_dir))
 
 
+# Each cohort is valued at the end of its year, half a year later, and at the end of the next year, there first
+# without the last month's reports and then finally, for the same date.
+VALUATIONS = [(12, 12), (18, 18), (24, 23), (24, 24)]
+
+
+def reserve_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reserve table with several valuations of each contract group, from the claims known at each."""
+    groups = derive.contract_group_history(claims(spark, sf_dir), VALUATIONS)
+    assumed = with_assumptions(groups.withColumnRenamed("valuation_date", "valued_on"))
+    return derive.reserve_table(assumed.withColumn("valuation_date", F.col("valued_on")))
+
+
 def reserves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.reserve_table(with_assumptions(contract_groups(spark, sf_dir)))
