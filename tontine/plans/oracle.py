@@ -952,6 +952,9 @@ SELECT (SELECT count(*) FROM policies) AS policies_loaded, (SELECT count(*) FROM
         "load_policies": arrived("policies", "sum_insured", "effective_date"),
         "load_claims": arrived("claims", "incurred_amount", "accident_date"),
         "load_claims_csv": arrived("claims", "incurred_amount", "accident_date"),
+        "load_claims_retried": arrived("claims", "incurred_amount", "accident_date"),
+        "load_policies_csv": arrived("policies", "sum_insured", "effective_date"),
+        "load_reserves_csv": arrived("reserves", "pv_claims", "valuation_date"),
         "load_reserves": arrived("reserves", "pv_claims", "valuation_date"),
         "derive_dev_month": rule("month", "i", "greatest(1, development_month)"),
         "derive_claim_status": rule("status", "s", "claim_status"),

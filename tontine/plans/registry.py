@@ -24,8 +24,8 @@ from tontine.operators import (
     triangles,
 )
 from tontine.session import configure, scratch_path
+from tontine.sources import loads, tables
 from tontine.sources import star_schema as star
-from tontine.sources import tables
 from tontine.streaming import incremental
 
 AS_OF = "2001-11-05"
@@ -132,29 +132,45 @@ def _metadata(reserves: DataFrame) -> DataFrame:
 def _loaded(table: str, fmt: str = "parquet", glob: str = "") -> Query:
     """Write a table in its layout, read it back and summarise what arrived."""
     source = {"policies": star.policies, "claims": star.claims, "reserves": star.reserves}[table]
-    amount, day = {
-        "policies": ("sum_insured", "effective_date"),
-        "claims": ("incurred_amount", "accident_date"),
-        "reserves": ("pv_claims", "valuation_date"),
-    }[table]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         path = scratch_path(spark, f"load-{table}-{fmt}")
         tables.write_table(source(spark, sf_dir), table, path, fmt)
-        arrived = tables.read_table(spark, table, path + glob, fmt)
-        return comparable(
-            arrived.groupBy("line_of_business", "geography").agg(
-                F.count(F.lit(1)).alias("n"),
-                F.sum(amount).alias("amount"),
-                F.min(day).alias("first_day"),
-                F.max(day).alias("last_day"),
-            )
-        )
+        return _summary(tables.read_table(spark, table, path + glob, fmt), table)
 
     return run
 
 
+def _summary(arrived: DataFrame, table: str) -> DataFrame:
+    amount, day = {
+        "policies": ("sum_insured", "effective_date"),
+        "claims": ("incurred_amount", "accident_date"),
+        "reserves": ("pv_claims", "valuation_date"),
+    }[table]
+    return comparable(
+        arrived.groupBy("line_of_business", "geography").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(amount).alias("amount"),
+            F.min(day).alias("first_day"),
+            F.max(day).alias("last_day"),
+        )
+    )
+
+
+def _retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims in two loads, of which one runs twice and one fails before its mark and is run again."""
+    configure(spark)
+    path = scratch_path(spark, "loads")
+    claims = star.claims(spark, sf_dir)
+    even, odd = claims.where("accident_year % 2 = 0"), claims.where("accident_year % 2 <> 0 OR accident_year IS NULL")
+    tables.write_table(even, "claims", f"{path}/data/load=even/attempt=failed")
+    for name, rows in (("even", even), ("odd", odd), ("even", even)):
+        loads.load(rows, "claims", path, name)
+    loads.remove_unfinished(spark, path)
+    return _summary(loads.read_loads(spark, "claims", path), "claims")
+
+
 # Several micro-batches of the stored tables: claims have a file a year, policies one a month.
 FILES_IN_BATCH = {"claims": 3, "policies": 30, "reserves": 1}
 
@@ -360,6 +376,9 @@ def queries() -> dict[str, Query]:
         "load_policies": _loaded("policies"),
         "load_claims": _loaded("claims"),
         "load_claims_csv": _loaded("claims", "csv"),
+        "load_policies_csv": _loaded("policies", "csv"),
+        "load_reserves_csv": _loaded("reserves", "csv"),
+        "load_claims_retried": _retried,
         "load_reserves": _loaded("reserves", glob="/*.parquet"),
         # The same on stored tables: partitions are pruned, no joins are repeated
         "tri_stored": _stored_claims(triangles.triangle, limit=50, **first),

@@ -70,7 +70,8 @@ def read_table_stream(
 def write_table(
     df: DataFrame, table: str, path: str, fmt: str = "parquet", mode: str = "append"
 ) -> None:
-    """Append (or overwrite) rows of a table in its layout.
+    """Append (or overwrite) rows of a table in its layout. ``mode='replace_partitions'`` replaces the
+    partitions that the rows belong to and leaves the others, so a load of whole partitions can be repeated.
 
     The rebalance hint lets the adaptive planner merge small partitions and split a
     partition value that holds much of the data, so files come out evenly sized.
@@ -83,7 +84,13 @@ def write_table(
     if "effective_month" in partitions:
         rows = rows.withColumn("effective_month", calendar_month("effective_date"))
     laid_out = rows.hint("rebalance", *[F.col(c) for c in partitions])
-    writer = laid_out.sortWithinPartitions(*partitions, *order).write.mode(mode)
+    if mode == "replace_partitions" and not partitions:
+        raise ValueError(f"{table} has no partitions")
+    writer = laid_out.sortWithinPartitions(*partitions, *order).write
+    if mode == "replace_partitions":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.option("compression", "snappy").parquet(path)
