@@ -41,6 +41,12 @@ def test_matches_sql(spark, duck, name):
     assert got == expected
 
 
+def test_bucketed_claims_and_policies_are_joined_where_they_are(spark):
+    plan = QUERIES["contract_groups_bucketed"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("SortMergeJoin")[1]
+    assert "SortMergeJoin" in plan and "Exchange" not in below and below.count("Bucketed: true") == 2
+
+
 # The largest number of scans: one per source table.
 QUANTILES = ["reserve_quantiles", "reserve_risk", "reserve_p95"]
 ONE_SCAN = ["tri_basic", "tri_arrays", "dev_factors", "chain_ladder_literal", "chain_ladder", "reinsurance"]
@@ -58,7 +64,7 @@ def test_plan(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert not re.search("Cartesian|NestedLoop|Python|ArrowEval", plan)
-    scans = re.findall(r"FileScan parquet \[([^\]]*)\].*?ReadSchema: struct<([^>]*)", plan, re.S)
+    scans = re.findall(r"FileScan parquet [\w.]*\[([^\]]*)\].*?ReadSchema: struct<([^>]*)", plan, re.S)
     # table_counts reads each of its three tables for itself. The quantiles' plan names its source often, and
     # reads it once, when the exchange is reused.
     if name not in QUANTILES:

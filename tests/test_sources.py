@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from samples import claims, multiset, policies, reserves
 from tontine import session
+from tontine.operators import derive
 from tontine.session import scratch_path
 from tontine.sources import star_schema
-from tontine.sources.tables import read_table, write_table
+from tontine.sources.tables import read_table, write_bucketed, write_table
 
 JSON = '{"note": "a, \\"quoted\\" word", "catastrophe_related": true}'
 
@@ -110,3 +111,17 @@ def test_numbers_of_more_than_eight_digits_stay_whole(spark):
     )
     got = sorted(r.policy_number for r in star_schema.policy_facts_from(orders).collect())
     assert got == ["POL00000005", "POL987654305", "POL987654313"]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    rows = [{"claim_id": i, "policy_id": i % 5, "paid_amount": i} for i in range(30)]
+    held = [{"policy_id": i, "geography": g} for i, g in enumerate(["CA", "TX", "CA", "FL"])]
+    facts = write_bucketed(claims(spark, *rows).drop("line_of_business", "geography"), "t_claims", scratch_path(spark, "b"), buckets=4)
+    known = write_bucketed(policies(spark, *held), "t_policies", scratch_path(spark, "b"), buckets=4)
+    joined = derive.described_claims(facts, known)
+    grouped = joined.groupBy("policy_id", "geography").agg(F.sum("paid_amount").alias("paid"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    got = {(r.policy_id, r.geography): int(r.paid) for r in grouped.collect()}
+    assert got == {(i, g): sum(range(i, 30, 5)) for i, g in enumerate(["CA", "TX", "CA", "FL", None])}
+    assert joined.count() == 30

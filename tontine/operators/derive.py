@@ -71,6 +71,13 @@ def contract_groups(claims: DataFrame) -> DataFrame:
     )
 
 
+def described_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
+    """Claims with the line of business and geography of their policy. The merge hint keeps tables that are stored
+    in buckets of the policy where they are: neither side is shuffled or broadcast."""
+    described = policies.select("policy_id", "line_of_business", "geography").hint("merge")
+    return claims.join(described, "policy_id", "left")
+
+
 def contract_group_history(claims: DataFrame, valuations: list[tuple[int, int]]) -> DataFrame:
     """Contract groups as they were known at several valuations, with their ``valuation_date``.
 

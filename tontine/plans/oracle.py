@@ -1111,5 +1111,6 @@ def statements() -> dict[str, str]:
         "dev_factors_stored": "dev_factors",
         "ifrs_summary_stored": "ifrs_summary",
         "csm_movements_stored": "csm_movements",
+        "contract_groups_bucketed": "contract_groups",
     }
     return made | {name: made[same] for name, same in stored.items()}

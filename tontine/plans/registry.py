@@ -193,6 +193,28 @@ def _stored(name: str, source: Query, table: str | None = None) -> Query:
     return read
 
 
+BUCKETS = 8
+
+
+def _bucketed(name: str, source: Query) -> Query:
+    """Rows stored in buckets of the policy by the first query of the session that needs them."""
+
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, f"bucketed-{name}")
+        if key not in _STORED:
+            path = scratch_path(spark, f"bucketed-{name}")
+            table = path.rsplit("/", 1)[-1].replace("-", "_")
+            tables.write_bucketed(source(spark, sf_dir), table, path, buckets=BUCKETS)
+            _STORED[key] = table
+        return spark.table(_STORED[key])
+
+    return read
+
+
+def _groups_of_bucketed(claims: DataFrame, policies: DataFrame) -> DataFrame:
+    return derive.contract_groups(derive.described_claims(claims, policies))
+
+
 def _loads_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reserve history as a stream of two loads, the later valuations of each group first."""
     path = scratch_path(spark, "stream-history")
@@ -386,6 +408,9 @@ def queries() -> dict[str, Query]:
         "dev_factors_stored": _stored_claims(triangles.development_factors, limit=24, **first),
         "ifrs_summary_stored": _stored_reserves(ifrs17.summary),
         "csm_movements_stored": _stored_reserves(ifrs17.csm_movements),
+        "contract_groups_bucketed": _over(_bucketed("claims", star.claim_facts), _bucketed("policies", star.policies))(
+            _groups_of_bucketed
+        ),
         # Incremental rollups
         "stream_triangle": _streamed(_claim_insertions, rollups.triangle),
         "stream_monthly_claims": _streamed(_claim_insertions, rollups.monthly_claims),
