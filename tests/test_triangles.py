@@ -1,11 +1,12 @@
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from samples import cells, claims, dicts, one
-from tontine.operators import triangles
+from samples import cells, claims, dicts, multiset, one
+from tontine.operators import rollups, triangles
 
 SHAPE = cells((2020, 1, 2000), (2020, 2, 3000), (2020, 3, 3300), (2021, 1, 4000), (2021, 2, 5000), (2022, 1, 6000))
 
@@ -101,3 +102,17 @@ def test_all_cells_unless_a_limit_is_given(spark):
     rows = cells(*[(2021, m, 1) for m in range(1, 91)])
     df = claims(spark, *rows)
     assert triangles.triangle(df).count() == 90 and triangles.triangle_recent(df, as_of="2022-01-01").count() == 90
+
+
+@pytest.mark.parametrize("operator", [triangles.triangle, triangles.triangle_arrays, triangles.triangle_by_line, triangles.development_factors])
+def test_rollup_cells_stand_for_claims(spark, operator):
+    rng = random.Random(8)
+    rows = [
+        {"accident_year": rng.choice([2019, 2021, 2022, 2023]), "development_month": rng.randint(1, 6), "paid_amount": rng.randint(0, 9000),
+         "line_of_business": rng.choice(["Motor", "Life"]), "geography": rng.choice(["CA", "TX"])}
+        for _ in range(200)
+    ]
+    df, rollup = claims(spark, *rows), rollups.triangle()
+    parts = [rollup.partial(df.where(F.col("geography") == g)) for g in ("CA", "TX")]
+    whole = rollup.finish(rollup.merge(parts[0].unionByName(parts[1])))
+    assert multiset(operator(whole)) == multiset(operator(df))

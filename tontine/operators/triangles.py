@@ -24,14 +24,20 @@ from tontine.functions import (
 
 
 def cells(claims: DataFrame, keys: list[str], min_accident_year: int) -> DataFrame:
-    """Triangle cells: paid, incurred and count per key combination."""
+    """Triangle cells: paid, incurred and count per key combination.
+
+    ``claims`` are claims, or the cells of ``rollups.triangle`` (batch, or kept up to date by a stream), which are
+    summed up to the wanted keys instead; the claims themselves are then not read.
+    """
+    rolled_up = "total_paid" in claims.columns
+    paid, incurred = ("total_paid", "total_incurred") if rolled_up else ("paid_amount", "incurred_amount")
     return (
         claims.where(F.col("accident_year") >= min_accident_year)
         .groupBy(*keys)
         .agg(
-            F.sum("paid_amount").alias("cumulative_paid"),
-            F.sum("incurred_amount").alias("cumulative_incurred"),
-            F.count(F.lit(1)).alias("claim_count"),
+            F.sum(paid).alias("cumulative_paid"),
+            F.sum(incurred).alias("cumulative_incurred"),
+            (F.sum("claim_count") if rolled_up else F.count(F.lit(1))).alias("claim_count"),
         )
     )
 

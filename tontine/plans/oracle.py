@@ -1109,6 +1109,10 @@ def statements() -> dict[str, str]:
         "tri_stored": "tri_basic",
         "tri_by_lob_stored": "tri_by_lob",
         "dev_factors_stored": "dev_factors",
+        "tri_rolled": "tri_basic",
+        "tri_arrays_rolled": "tri_arrays",
+        "tri_by_lob_rolled": "tri_by_lob",
+        "dev_factors_rolled": "dev_factors",
         "ifrs_summary_stored": "ifrs_summary",
         "csm_movements_stored": "csm_movements",
         "contract_groups_bucketed": "contract_groups",

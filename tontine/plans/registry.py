@@ -23,6 +23,7 @@ from tontine.operators import (
     rollups,
     triangles,
 )
+from tontine.schemas import TABLES
 from tontine.session import configure, scratch_path
 from tontine.sources import loads, tables
 from tontine.sources import star_schema as star
@@ -254,6 +255,18 @@ _stored_claims = _over(_stored("claims", star.claims))
 _stored_reserves = _over(_stored("reserves", star.reserves))
 
 
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triangle rollup that a stream of the claims has left, kept up to date once a session."""
+    key, rollup = (spark.sparkContext.applicationId, sf_dir, "triangle-rollup"), rollups.triangle()
+    if key not in _STORED:
+        path, rows = scratch_path(spark, "triangle-rollup"), _claim_insertions(spark, sf_dir)
+        incremental.start(rollup, rows, path, compact_every=2).awaitTermination()
+        _STORED[key] = path
+    empty = spark.createDataFrame([], TABLES["claims"])
+    return incremental.current(rollup, spark, _STORED[key], rollup.partial(empty).schema)
+
+
+_rolled = _over(_cells)
 _history = _over(star.reserve_history)
 
 
@@ -406,6 +419,11 @@ def queries() -> dict[str, Query]:
         "tri_stored": _stored_claims(triangles.triangle, limit=50, **first),
         "tri_by_lob_stored": _stored_claims(triangles.triangle_by_line, limit=20, **later),
         "dev_factors_stored": _stored_claims(triangles.development_factors, limit=24, **first),
+        # The same on the rollup's cells: no claims are read
+        "tri_rolled": _rolled(triangles.triangle, limit=50, **first),
+        "tri_arrays_rolled": _rolled(triangles.triangle_arrays, **first),
+        "tri_by_lob_rolled": _rolled(triangles.triangle_by_line, limit=20, **later),
+        "dev_factors_rolled": _rolled(triangles.development_factors, limit=24, **first),
         "ifrs_summary_stored": _stored_reserves(ifrs17.summary),
         "csm_movements_stored": _stored_reserves(ifrs17.csm_movements),
         "contract_groups_bucketed": _over(_bucketed("claims", star.claim_facts), _bucketed("policies", star.policies))(
