@@ -17,6 +17,7 @@ from tontine.functions.columns import (
     sum_where,
     total,
 )
+from tontine.functions.membership import probably_in
 from tontine.functions.quantiles import distribution
 
 __all__ = [
@@ -34,6 +35,7 @@ __all__ = [
     "list_product",
     "mean",
     "ordered_values",
+    "probably_in",
     "ratio",
     "side_by_side",
     "sum_where",

@@ -19,15 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tontine.functions.columns import dbl, ratio
+from tontine.functions.membership import probably_in
 
 # Leading digits that values of one bin share; shorter values are bins of their own.
 DIGITS = 4
 # A long has at most 19 digits.
 WIDTHS = [10 ** max(0, digits - DIGITS) for digits in range(1, 20)]
 
-# The wanted bins are marked in bitmaps of 32,768 places: fixed numbers, whatever the number of groups.
-PAGES = 64
-
 EXACT = "decimal(38,0)"
 
 
@@ -46,12 +44,6 @@ def bin_start(cents: str) -> Column:
     return F.expr(f"{cents} - pmod({cents}, {width})")
 
 
-def _placed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """With the bitmap ``page__`` that a group's bin belongs to, and its ``place__`` there."""
-    hashed = F.xxhash64(*keys, "start__")
-    return rows.withColumns({"page__": F.pmod(hashed, F.lit(PAGES)), "place__": F.bitmap_bit_position(F.shiftright(hashed, 8))})
-
-
 def _histogram(values: DataFrame, keys: list[str]) -> DataFrame:
     """Rows, and exact sums of the offsets and of their squares, for each bin; ``from__`` and ``upto__`` are the
     ranks of its rows within the group."""
@@ -103,20 +95,8 @@ def _asked(bins: DataFrame, keys: list[str], quantiles: dict[str, float]) -> Dat
 
 def _picked(values: DataFrame, asked: DataFrame, keys: list[str], slots: list[str]) -> DataFrame:
     """The values at the asked ranks, one column for each slot, per group."""
-    octets = F.transform(
-        F.sequence(F.lit(1), F.length("bits__")),
-        lambda i: F.conv(F.hex(F.substring(F.col("bits__"), i, F.lit(1))), 16, 10).cast("int"),
-    )
-    pages = (
-        _placed(asked, keys).groupBy(F.col("page__").alias("page__w"))
-        .agg(F.bitmap_construct_agg("place__").alias("bits__"))
-        .select("page__w", octets.alias("octets__"))
-    )
-    rows = _placed(values, keys).join(F.broadcast(pages), F.col("page__") == F.col("page__w"))
-    octet = F.get("octets__", F.shiftright("place__", 3).cast("int"))
-    wanted = F.call_function("shiftright", octet, (F.col("place__") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    counted = rows.where(wanted).groupBy(*keys, "start__", "cents__").agg(F.count(F.lit(1)).alias("n__"))
     inside = [*keys, "start__"]
+    counted = probably_in(values, asked, inside).groupBy(*inside, "cents__").agg(F.count(F.lit(1)).alias("n__"))
     of_bin = _renamed(asked, inside)
     held = counted.join(of_bin, _same(inside, counted, of_bin))
     ordered = Window.partitionBy(*inside).orderBy("cents__").rowsBetween(Window.unboundedPreceding, 0)
