@@ -6,7 +6,7 @@ from samples import claims, multiset, one, policies, reserves
 from tontine.operators import rollups
 from tontine.session import scratch_path
 from tontine.sources.tables import read_table_stream, write_table
-from tontine.streaming import incremental
+from tontine.streaming import incremental, stateful
 
 CLAIMS = [
     {"geography": g, "accident_date": f"2021-0{m}-01", "report_date": f"2021-0{m + 1}-01", "claim_status": s,
@@ -159,3 +159,32 @@ def test_compaction_counts_nothing_twice(spark):
     got = incremental.run(rollup, stream, target, compact_every=2)
     assert multiset(got) == multiset(rollup.batch(claims(spark, *CLAIMS[:3], *CLAIMS[:3])))
     assert len(incremental._numbers(spark, f"{target}/snapshots")) == 1
+
+
+@pytest.mark.parametrize("table,build,rows,make", CASES, ids=IDS)
+def test_state_equals_batch_after_a_restart(spark, table, build, rows, make):
+    """One file a batch, with compaction; then more files from the checkpoint."""
+    rollup, source, target = make(), scratch_path(spark, "in"), scratch_path(spark, "out")
+    for part in (rows[:2], rows[2:]):
+        write_table(build(spark, *part), table, source)
+    query = stateful.start(rollup, read_table_stream(spark, table, source, max_files_per_trigger=1), target, compact_every=2)
+    query.awaitTermination()
+    groups = rollup.batch(build(spark, *rows))
+    state = query.lastProgress["stateOperators"][0]
+    assert "rocksdbCommitFileSyncLatencyMs" in state["customMetrics"]
+    assert state["numRowsTotal"] == groups.count()
+    schema = build(spark).schema
+    assert multiset(stateful.current(rollup, spark, target, schema)) == multiset(groups)
+    write_table(build(spark, rows[0], rows[-1]), table, source)
+    again = stateful.run(rollup, read_table_stream(spark, table, source), target)
+    assert multiset(again) == multiset(rollup.batch(build(spark, *rows, rows[0], rows[-1])))
+
+
+def test_a_stale_record_never_wins(spark):
+    """A batch written again, and batches read in any order, leave the newest state of each group."""
+    rollup, target = rollups.triangle(), scratch_path(spark, "out")
+    small, whole = (rollup.partial(claims(spark, *rows)) for rows in (CLAIMS[:3], CLAIMS))
+    for number, groups in ((1, whole), (0, small), (0, small)):
+        stateful._changes(rollup, groups, number).write.mode("overwrite").parquet(f"{target}/partials/batch={number}")
+    got = stateful.current(rollup, spark, target, claims(spark).schema)
+    assert multiset(got) == multiset(rollup.batch(claims(spark, *CLAIMS)))

@@ -8,7 +8,7 @@ from tontine import session
 from tontine.operators import derive
 from tontine.session import scratch_path
 from tontine.sources import star_schema
-from tontine.sources.tables import read_table, write_bucketed, write_table
+from tontine.sources.tables import read_footers, read_table, write_bucketed, write_table
 
 JSON = '{"note": "a, \\"quoted\\" word", "catastrophe_related": true}'
 
@@ -125,3 +125,16 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     got = {(r.policy_id, r.geography): int(r.paid) for r in grouped.collect()}
     assert got == {(i, g): sum(range(i, 30, 5)) for i, g in enumerate(["CA", "TX", "CA", "FL", None])}
     assert joined.count() == 30
+
+
+def test_footers_answer_counts_minima_and_maxima(spark):
+    path, rows = scratch_path(spark, "footers"), sample(spark, "claims")
+    write_table(rows, "claims", path)
+    df = read_footers(spark, "claims", path).groupBy("accident_year").agg(
+        F.count(F.lit(1)).alias("n"), F.min("accident_date").alias("first"), F.max("claim_id").alias("most")
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), MIN\(accident_date\)", plan) and "PushedGroupBy: [accident_year]" in plan
+    assert {(r.accident_year, r.n, r.most) for r in df.collect()} == {(2019 + i, 1, i) for i in (1, 2, 3)}
+    assert multiset(read_footers(spark, "claims", path)) == multiset(rows)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")

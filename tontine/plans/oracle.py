@@ -1113,6 +1113,11 @@ def statements() -> dict[str, str]:
         "tri_arrays_rolled": "tri_arrays",
         "tri_by_lob_rolled": "tri_by_lob",
         "dev_factors_rolled": "dev_factors",
+        "verify_claims_footers": "verify_claims",
+        "table_counts_footers": "table_counts",
+        "stream_triangle_state": "stream_triangle",
+        "stream_monthly_claims_state": "stream_monthly_claims",
+        "stream_reserve_latest_state": "stream_reserve_latest",
         "ifrs_summary_stored": "ifrs_summary",
         "csm_movements_stored": "csm_movements",
         "contract_groups_bucketed": "contract_groups",

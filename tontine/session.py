@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even when that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Lets ``tables.read_footers`` answer counts, minima and maxima without reading rows.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
