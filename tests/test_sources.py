@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from samples import claims, multiset, policies, reserves
 from tontine import session
-from tontine.operators import derive
+from tontine.operators import checks, derive
 from tontine.session import scratch_path
 from tontine.sources import star_schema
 from tontine.sources.tables import read_footers, read_table, write_bucketed, write_table
@@ -138,3 +138,14 @@ def test_footers_answer_counts_minima_and_maxima(spark):
     assert {(r.accident_year, r.n, r.most) for r in df.collect()} == {(2019 + i, 1, i) for i in (1, 2, 3)}
     assert multiset(read_footers(spark, "claims", path)) == multiset(rows)
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_column_digests_find_any_changed_value(spark):
+    rows = [{"claim_id": i, "paid_amount": i, "geography": None if i == 2 else "CA"} for i in range(4)]
+    digests = {r.column_name: (r.known, r.digest) for r in checks.column_digests(claims(spark, *rows)).collect()}
+    assert list(digests) == claims(spark).columns and digests["geography"][0] == 3
+    again = {r.column_name: (r.known, r.digest) for r in checks.column_digests(claims(spark, *rows[::-1])).collect()}
+    assert again == digests
+    other = {r.column_name: (r.known, r.digest) for r in checks.column_digests(claims(spark, *rows[:3], rows[3] | {"paid_amount": 3.01})).collect()}
+    assert {c for c in digests if other[c] != digests[c]} == {"paid_amount"}
+    assert {(r.known, r.digest) for r in checks.column_digests(claims(spark)).collect()} == {(0, "0")}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tontine.functions import mean, side_by_side
@@ -93,6 +93,27 @@ def csm_by_line(reserves: DataFrame) -> DataFrame:
     )
 
 
+def column_digests(df: DataFrame) -> DataFrame:
+    """For each column: its known values, and a digest of them that doesn't depend on their order: the sum of the
+    first 48 bits of each value's MD5, as text. Two tables with equal digests hold the same values in each column.
+    One pass and one row to combine, whatever the number of columns."""
+
+    def digest(name: str) -> Column:
+        number = F.conv(F.substring(F.md5(F.col(name).cast("string").cast("binary")), 1, 12), 16, 10).cast("decimal(15,0)")
+        return F.coalesce(F.sum(number).cast("decimal(38,0)"), F.lit(0)).cast("string")
+
+    names = df.columns
+    row = df.agg(
+        *[F.count(name).alias(f"known_{i}") for i, name in enumerate(names)],
+        *[digest(name).alias(f"digest_{i}") for i, name in enumerate(names)],
+    )
+    columns = [
+        F.struct(F.lit(name).alias("column_name"), F.col(f"known_{i}").alias("known"), F.col(f"digest_{i}").alias("digest"))
+        for i, name in enumerate(names)
+    ]
+    return row.select(F.inline(F.array(*columns)))
+
+
 def table_counts(policies: DataFrame, claims: DataFrame, reserves: DataFrame) -> DataFrame:
     tables = {"policies": policies, "claims": claims, "reserves": reserves}
     return side_by_side(

@@ -7,6 +7,8 @@ s (text).
 
 from __future__ import annotations
 
+from tontine import assumptions as A
+
 _KINDS = {"i": "BIGINT", "d": "DOUBLE", "s": "VARCHAR"}
 
 FIXTURE = """
@@ -899,6 +901,66 @@ FROM {exposed}
     }
 
 
+def _digests(rows: str, columns: str) -> str:
+    """Known values and digest of each column of the rows."""
+    parts = [
+        f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS known, "
+        f"CAST(coalesce(sum(CAST('0x' || substr(md5(CAST({c} AS VARCHAR)), 1, 12) AS BIGINT)), 0) AS VARCHAR) AS digest FROM arrived"
+        for c in columns.split()
+    ]
+    return f"{FIXTURE}, arrived AS ({rows})\n" + "\nUNION ALL\n".join(parts)
+
+
+def _columns() -> dict[str, str]:
+    causes = " ".join(
+        f"WHEN '{line}' THEN [{', '.join(repr(x) for x in names)}][l_suppkey % 5 + 1]" for line, names in A.CLAIM_CAUSES.items()
+    )
+    return {
+        "load_policies_columns": _digests(
+            """
+SELECT *, 'POL' || printf('%08d', policy_id) AS policy_number, CAST(effective_date + 365 AS DATE) AS expiry_date,
+  CASE line_of_business
+    WHEN 'Motor' THEN '{"vehicle_age": ' || policy_id % 20 || '}'
+    WHEN 'Property' THEN '{"flood_zone": "' || CASE WHEN policy_id % 10 < 7 THEN 'Low' WHEN policy_id % 10 < 9 THEN 'Medium' ELSE 'High' END || '"}'
+    WHEN 'Life' THEN '{"smoker": ' || (policy_id % 20 < 3) || ', "health_rating": "'
+      || CASE WHEN policy_id % 10 < 6 THEN 'Standard' WHEN policy_id % 10 < 9 THEN 'Preferred' ELSE 'Super Preferred' END || '"}'
+    ELSE '{}' END AS risk_factors
+FROM policies
+""",
+            "policy_id policy_number effective_date expiry_date line_of_business sum_insured premium geography customer_age "
+            "customer_gender risk_factors",
+        ),
+        "load_claims_columns": _digests(
+            f"""
+SELECT l_orderkey * 8 + l_linenumber AS claim_id, 'CLM' || printf('%08d', l_orderkey * 8 + l_linenumber) AS claim_number,
+  l_orderkey AS policy_id, accident_date, report_date, year(accident_date) AS accident_year,
+  greatest(1, (year(report_date) - year(accident_date)) * 12 + month(report_date) - month(accident_date) + 1) AS development_month,
+  lob AS line_of_business, geo AS geography, CASE lob {causes} END AS claim_cause,
+  CASE WHEN incurred_amount - paid_amount <= 10 THEN 'Closed' WHEN incurred_amount - paid_amount <= 1000 THEN 'Open' ELSE 'Reserved' END
+    AS claim_status,
+  initial_reserve, paid_amount, CAST(incurred_amount - paid_amount AS DECIMAL(18,2)) AS outstanding_reserve, incurred_amount,
+  '{{"complexity": "' || CASE WHEN l_partkey % 10 < 6 THEN 'Simple' WHEN l_partkey % 10 < 9 THEN 'Medium' ELSE 'Complex' END
+    || '", "legal_involvement": ' || (l_suppkey % 10 = 0) || ', "catastrophe_related": ' || (l_partkey % 20 = 7) || '}}' AS claim_attributes
+FROM settled LEFT JOIN described ON l_orderkey = o_orderkey
+""",
+            "claim_id claim_number policy_id accident_date report_date accident_year development_month line_of_business geography "
+            "claim_cause claim_status initial_reserve paid_amount outstanding_reserve incurred_amount claim_attributes",
+        ),
+        "load_reserves_columns": _digests(
+            """
+SELECT * REPLACE (CAST(pv_factor AS DECIMAL(18,6)) AS pv_factor, CAST(coverage_units_current AS BIGINT) AS coverage_units_current,
+  CAST(best_estimate_liability AS DECIMAL(18,2)) AS best_estimate_liability,
+  CAST(liability_remaining_coverage AS DECIMAL(18,2)) AS liability_remaining_coverage)
+FROM reserves
+""",
+            "contract_group_id line_of_business geography cohort_year valuation_date policy_count claim_count total_incurred total_paid "
+            "total_outstanding pv_factor pv_claims pv_premiums risk_adjustment acquisition_costs initial_csm loss_component "
+            "profitability_class coverage_units_total coverage_units_current csm_amortization best_estimate_liability "
+            "liability_remaining_coverage reserve_adequacy_ratio",
+        ),
+    }
+
+
 def _tables() -> dict[str, str]:
     def arrived(table: str, amount: str, day: str) -> str:
         return _typed(
@@ -1102,6 +1164,7 @@ def statements() -> dict[str, str]:
         **_ifrs17(),
         **_catastrophe(),
         **_tables(),
+        **_columns(),
         **_rollups(),
     }
     # The queries on stored tables say the same as those on the raw ones.

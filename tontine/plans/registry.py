@@ -130,7 +130,7 @@ def _metadata(reserves: DataFrame) -> DataFrame:
     )
 
 
-def _loaded(table: str, fmt: str = "parquet", glob: str = "") -> Query:
+def _loaded(table: str, fmt: str = "parquet", glob: str = "", show: Callable[[DataFrame], DataFrame] | None = None) -> Query:
     """Write a table in its layout, read it back and summarise what arrived."""
     source = {"policies": star.policies, "claims": star.claims, "reserves": star.reserves}[table]
 
@@ -138,7 +138,8 @@ def _loaded(table: str, fmt: str = "parquet", glob: str = "") -> Query:
         configure(spark)
         path = scratch_path(spark, f"load-{table}-{fmt}")
         tables.write_table(source(spark, sf_dir), table, path, fmt)
-        return _summary(tables.read_table(spark, table, path + glob, fmt), table)
+        arrived = tables.read_table(spark, table, path + glob, fmt)
+        return comparable(show(arrived)) if show else _summary(arrived, table)
 
     return run
 
@@ -419,6 +420,10 @@ def queries() -> dict[str, Query]:
         "load_policies_csv": _loaded("policies", "csv"),
         "load_reserves_csv": _loaded("reserves", "csv"),
         "load_claims_retried": _retried,
+        # Every column of what arrived
+        "load_policies_columns": _loaded("policies", "csv", show=checks.column_digests),
+        "load_claims_columns": _loaded("claims", show=checks.column_digests),
+        "load_reserves_columns": _loaded("reserves", show=lambda df: checks.column_digests(df.drop("reserve_metadata"))),
         "load_reserves": _loaded("reserves", glob="/*.parquet"),
         # The same on stored tables: partitions are pruned, no joins are repeated
         "tri_stored": _stored_claims(triangles.triangle, limit=50, **first),
