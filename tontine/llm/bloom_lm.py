@@ -23,25 +23,33 @@ the base probability is 1 for each token's only class, log10(0.1/0.1) = 0. An em
 
 from __future__ import annotations
 
-import gc
 import math
 import zlib
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import SPACE, arrow_map, held_out, narrow, stored
+from tontine.llm.common import arrow_map, as_batch, held_out, narrow, rows_of, stored
 
 END = "\n"  # cannot be a word: words hold no white space
 ALPHA = 0.1
 HEAD = 1 << 21
 HEAD_BYTES = 32
 BLOCK_BYTES = 1 << 16
+#: Different words that a task counts at once, and rows that it hands over at once.
+WORDS, ROWS = 1 << 18, 1 << 14
+#: Bytes of text that are counted together, large for a better combination before the shuffle.
+PIECE = 16 << 20
 #: Blocks that one task holds at once when n-grams are sent to them.
 TOGETHER = 16
+#: Bits of a key that tell it from others in its block; the rest choose the block.
+LOW_BITS = 40
+LOW = np.uint64((1 << LOW_BITS) - 1)
 BASE = 2.0
 STRENGTH = 32.0
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -76,31 +84,36 @@ class LogFrequencyFilter:
 
     @staticmethod
     def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
-        return (keys >> np.uint64(40)) % np.uint64(blocks)
+        return (keys >> np.uint64(LOW_BITS)) % np.uint64(blocks)
 
-    def places(self, keys: np.ndarray, level: int, probe: int) -> tuple[np.ndarray, np.ndarray]:
-        """Byte and bit of one probe within the block."""
-        h = mix(keys + np.uint64((level * 0xD1B54A32D192ED03 + probe * 0x8CB92BA72F3D8DD7) % 2**64))
+    def places(self, low: np.ndarray, level: int, probe: int) -> tuple[np.ndarray, np.ndarray]:
+        """Byte and bit of one probe within the block, from the lower bits of the key."""
+        h = mix(low + np.uint64((level * 0xD1B54A32D192ED03 + probe * 0x8CB92BA72F3D8DD7) % 2**64))
         at = h & np.uint64(8 * BLOCK_BYTES - 1)
         return at >> np.uint64(3), (np.uint64(1) << (at & np.uint64(7))).astype(np.uint8)
 
     def add(self, keys: np.ndarray, levels: np.ndarray) -> None:
         base = (self.block_of(keys, self.blocks) - self.first) * np.uint64(BLOCK_BYTES)
+        low = keys & LOW
         for level in range(1, int(levels.max(initial=0)) + 1):
             some = levels >= level
             for probe in range(self.hashes):
-                byte, bit = self.places(keys[some], level, probe)
+                byte, bit = self.places(low[some], level, probe)
                 np.bitwise_or.at(self.bits, (base[some] + byte).astype(np.int64), bit)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key, 0 if it isn't held."""
-        out = np.zeros(len(keys), np.int64)
-        left = np.arange(len(keys))
-        base = (self.block_of(keys, self.blocks) - self.first) * np.uint64(BLOCK_BYTES)
+        return self.levels_in(self.block_of(keys, self.blocks) - self.first, keys & LOW)
+
+    def levels_in(self, block: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """The same, from the block (of those held here) and the lower bits of each key."""
+        out = np.zeros(len(low), np.int64)
+        left = np.arange(len(low))
+        base = block * np.uint64(BLOCK_BYTES)
         level = 1
         while len(left):
             for probe in range(self.hashes):
-                byte, bit = self.places(keys[left], level, probe)
+                byte, bit = self.places(low[left], level, probe)
                 left = left[(self.bits[(base[left] + byte).astype(np.int64)] & bit) > 0]
             out[left] = level
             level += 1
@@ -120,15 +133,31 @@ def count_of(levels: np.ndarray, base: float = BASE) -> np.ndarray:
 
 
 def token_counts(base: DataFrame) -> DataFrame:
-    """``word, c`` over the training rows of ``base (text, held_out)``, the end mark included."""
-    words = base.filter("NOT held_out").select(
-        F.explode(F.concat(F.filter(F.split(_lower("text"), SPACE), lambda w: w != ""), F.array(F.lit(END)))).alias("word")
-    )
-    return words.groupBy("word").agg(F.count("*").alias("c"))
+    """``word, c`` over the training rows of ``base (text, held_out)``, the end mark included. Each task counts
+    its own texts, up to ``WORDS`` different words at once; then the counts are summed by word."""
+    wanted = base.sparkSession.createDataFrame([], "word string, c long").schema
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: defaultdict[bytes, int] = defaultdict(int)
 
-def _lower(column: str):
-    return F.translate(F.col(column), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+        def taken() -> Iterator[pa.RecordBatch]:
+            words = list(found)
+            for at in range(0, len(words), ROWS):
+                part = words[at : at + ROWS]
+                yield as_batch({"word": [w.decode() for w in part], "c": [found[w] for w in part]}, wanted)
+            found.clear()
+
+        for columns in rows_of(batches, 1 << 20):
+            for text in columns["text"]:
+                for word in text.encode().lower().split():
+                    found[word] += 1
+                found[END.encode()] += 1
+                if len(found) >= WORDS:
+                    yield from taken()
+        yield from taken()
+
+    partial = base.filter("NOT held_out").select("text").mapInArrow(count, wanted)
+    return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def tokens_of(text: str) -> list[str]:
@@ -147,13 +176,6 @@ def numbered(texts: list[str]) -> tuple[list[bytes], list[np.ndarray]]:
     return list(number), ids
 
 
-def release(spark) -> None:
-    """Let Spark remove the shuffle files behind stored tables now; else they stay until the driver happens
-    to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def pair_counts(base: DataFrame, parts: int, least: int) -> DataFrame:
     """``key, c`` of the pairs of words that occur ``least`` times or more. Each Arrow batch is
     counted in its task; a group sums the batches' counts of its share of the keys. ``parts`` grows with
@@ -188,8 +210,7 @@ def pair_counts(base: DataFrame, parts: int, least: int) -> DataFrame:
         kept = sums >= least
         return pd.DataFrame({"key": keys[first][kept].view(np.int64), "c": sums[kept]})
 
-    # Larger pieces, for a better combination before the shuffle.
-    partial = arrow_map(base, "part int, keys binary, counts binary", count, 32 << 20)
+    partial = arrow_map(base, "part int, keys binary, counts binary", count, PIECE)
     return partial.groupBy("part").applyInPandas(add, "key long, c long")
 
 
@@ -250,10 +271,31 @@ def _unpacked(sizes: bytes, tokens: bytes, words: bytes) -> tuple[list[np.ndarra
 
 
 def _sent(keys: np.ndarray, unique: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of a piece's words and pairs, the part of the filter that each goes to, and their order there."""
+    """The part of the filter that each key of a piece's words and pairs goes to, what is sent of it (the block's
+    number in the part, and the lower bits), and the order in which they are sent."""
     every = np.r_[keys, pair_keys(keys[unique >> 32], keys[unique & 0xFFFFFFFF])]
-    part = (LogFrequencyFilter.block_of(every, blocks) // np.uint64(TOGETHER)).astype(np.int64)
-    return every, part, np.argsort(part, kind="stable")
+    block = LogFrequencyFilter.block_of(every, blocks)
+    part = (block // np.uint64(TOGETHER)).astype(np.int64)
+    sent = (block % np.uint64(TOGETHER) << np.uint64(LOW_BITS)) | (every & LOW)
+    # One sort where part and key fit in 64 bits, as they do for filters of up to 2^40 bytes.
+    if blocks < TOGETHER << (64 - LOW_BITS - TOGETHER.bit_length()):
+        order = np.argsort((part.view(np.uint64) << np.uint64(LOW_BITS + TOGETHER.bit_length())) | sent, kind="stable")
+    else:
+        order = np.lexsort((sent, part))
+    return part, sent, order
+
+
+def _coded(ascending: np.ndarray) -> bytes:
+    """Ascending numbers of 44 bits as differences: their lower four bytes, then the upper two of each, which are
+    mostly zero and vanish when the shuffle is compressed."""
+    steps = np.diff(ascending, prepend=np.uint64(0))
+    return (steps & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (steps >> np.uint64(32)).astype("<u2").tobytes()
+
+
+def _decoded(coded: bytes) -> np.ndarray:
+    n = len(coded) // 6
+    low, high = np.frombuffer(coded, "<u4", n), np.frombuffer(coded, "<u2", n, 4 * n)
+    return np.cumsum(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), dtype=np.uint64)
 
 
 def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int, total: int, different: int) -> DataFrame:
@@ -264,19 +306,22 @@ def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int,
         out = {"part": [], "row": [], "keys": []}
         for row, *piece in zip(columns["row"], columns["sizes"], columns["tokens"], columns["words"], strict=True):
             _, keys, unique, _ = _unpacked(*piece)
-            every, part, order = _sent(keys, unique, blocks)
+            part, sent, order = _sent(keys, unique, blocks)
             cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
             for some in np.split(order, cuts[1:]):
                 out["part"].append(int(part[some[0]]))
                 out["row"].append(row)
-                out["keys"].append(every[some].tobytes())
+                out["keys"].append(_coded(sent[some]))
         return out
 
     def look_up(key: tuple, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         first = int(key[0]) * TOGETHER
         bits = filled(list(zip(own["block"], own["bits"], strict=True)), first, TOGETHER)
         model = LogFrequencyFilter(blocks, hashes, bits, first)
-        levels = [model.levels(np.frombuffer(k, "<u8")).astype(np.uint8).tobytes() for k in asked["keys"]]
+        levels = []
+        for coded in asked["keys"]:
+            sent = _decoded(coded)
+            levels.append(model.levels_in(sent >> np.uint64(LOW_BITS), sent & LOW).astype(np.uint8).tobytes())
         return pd.DataFrame({"row": asked["row"].astype("int64"), "part": asked["part"].astype("int64"), "levels": levels})
 
     def finish(key: tuple, piece: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
@@ -291,6 +336,8 @@ def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int,
     asked = arrow_map(pieces, "part long, row long, keys binary", send)
     own = made.withColumn("part", F.floor(F.col("block") / TOGETHER))
     levels = asked.groupBy("part").cogroup(own.groupBy("part")).applyInPandas(look_up, "row long, part long, levels binary")
+    # Stored, so that the keys are gone from the disk before the pieces are moved, and these before the scores are.
+    levels = stored(levels, "levels")
     return pieces.groupBy("row").cogroup(levels.groupBy("row")).applyInPandas(finish, "row long, score double")
 
 
@@ -323,9 +370,7 @@ def score(
     pairs = stored(pair_counts(base, int(parts), least_pairs), "pair-counts")
     # The same hash as word_keys: XXH64 of the bytes, seed 42.
     singles = counts.select(F.xxhash64("word").alias("key"), "c")
-    release(spark)
     made, blocks, hashes = build_filter(singles.unionByName(pairs), error, BASE)
-    release(spark)
     routed = blocks * BLOCK_BYTES > filter_bytes
     bits = None if routed else filled(made.collect(), 0, blocks)
     held = spark.sparkContext.broadcast({"bits": bits})
@@ -370,7 +415,7 @@ def score(
     rated = stored(arrow_map(base, schema, rate).withColumn("row", F.monotonically_increasing_id()), "rated")
     if routed:
         pieces = rated.filter("sizes IS NOT NULL").select("row", "sizes", "tokens", "words")
-        scores = routed_scores(pieces, made, blocks, hashes, total, different)
+        scores = stored(routed_scores(pieces, made, blocks, hashes, total, different), "scores")
         rated = rated.drop("sizes", "tokens", "words")
     # The other words, each at most total / head_size times in the training text, or too long to broadcast.
     tail = rated.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")

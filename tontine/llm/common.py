@@ -38,12 +38,21 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Has Spark remove an execution's shuffle files at its end, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read back. Later readers survive
-    the loss of executors, and nothing above is computed twice."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the loss of executors, and nothing above is computed twice. What was shuffled for it is removed."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remainder(id_col: str, divisor: int) -> Column:
