@@ -26,6 +26,8 @@ from tontine.llm import (
     toxicity,
 )
 
+from tontine.llm.common import CLEANUP, stored
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -51,6 +53,42 @@ def test_matches_sql(spark, name):
     )
 
 
+def license_brute(rows, templates=licenses.TEMPLATES):
+    """Containment of every template in every whole text."""
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    grams = lambda w: [tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))] if w else []
+    out = []
+    for i, text in rows:
+        held = grams(words(text))
+        for name, template in templates:
+            wanted = set(grams(words(template)))
+            common = wanted & set(held)
+            if len(common) >= 0.8 * len(wanted):
+                out.append((i, name, len(common) / len(wanted), min(map(held.index, common))))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bound", [licenses.BROADCAST_KEYS, 0])
+def test_licenses_anywhere_in_whole_texts(spark, monkeypatch, bound):
+    """Split, repeated, long and missing texts, and more template keys than are broadcast."""
+    monkeypatch.setattr(licenses, "BROADCAST_KEYS", bound)
+    named = dict(licenses.TEMPLATES)
+    filler = " ".join(f"w{i % 700}" for i in range(1000))
+    mit, half = named["MIT"], len(named["MIT"].split()) // 2
+    split = " ".join([*mit.split()[:half], filler, *mit.split()[half:]])
+    rows = [
+        (1, split), (1, split), (2, None), (3, ""), (4, " \n"), (None, f"{filler} {named['ISC']}"), (5, f"{filler} " * 200 + named["GPL-2.0"]),
+        (6, named["MPL-2.0"] + " " + named["MPL-2.0"]), (7, " ".join(named.values())), (8, "Licensed under CC BY-SA 4.0."), (9, filler),
+        (10, " ".join(mit.split()[: half // 2])),
+    ]
+    table = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], "doc_id long, text string, template string, key string, same int")
+    got = licenses.scan(table)
+    assert got.columns == ["doc_id", "template", "containment", "first_word"]
+    assert sorted(map(tuple, got.collect()), key=repr) == license_brute(rows)
+    assert {r.template for r in got.filter("doc_id = 1").collect()} == {"MIT"} and got.filter("doc_id = 1").count() == 2
+    assert licenses.scan(table.limit(0)).count() == 0
+
+
 def test_long_license_inside_a_text(spark):
     words = [f"w{i}" for i in range(300)]
     mit = dict(licenses.TEMPLATES)["MIT"]
@@ -110,6 +148,51 @@ def test_pairs_of_rare_and_long_words_are_counted(spark):
         assert got[a].base_score == pytest.approx(got[b].base_score) and got[a].score > got[b].score + 0.1
 
 
+@pytest.mark.parametrize("least,size", [(1, 1 << 25), (2, 1)])
+def test_scores_match_a_plain_model(docs, texts, least, size):
+    """Exact counts, quantised alike; the filter's error is so small here that nothing is found by mistake."""
+    tokens = {i: bloom_lm.tokens_of(t) for i, t in texts.items()}
+    train = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10]
+    words = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(t, t[1:], strict=False))
+    total = sum(words.values())
+
+    def middle(count):
+        low = 1 << (count.bit_length() - 1) if count else 0
+        return (low + max(2 * low - 1, low)) / 2 if count else 0.0
+
+    def chance(w):
+        return (middle(words[w]) + 0.1) / (total + 0.1 * (len(words) + 1))
+
+    for r in bloom_lm.score(docs, error=2.0**-30, least_pairs=least, filter_bytes=size).collect():
+        t = tokens[r.doc_id]
+        value = math.log10(chance(t[0]))
+        for a, b in zip(t, t[1:], strict=False):
+            c = pairs[a, b] if pairs[a, b] >= least else 0
+            joint = min(middle(c), middle(words[a]), middle(words[b]))
+            value += math.log10((joint + bloom_lm.STRENGTH * chance(b)) / (middle(words[a]) + bloom_lm.STRENGTH))
+        assert r.score == pytest.approx(value, rel=1e-9)
+
+
+def test_codes_of_sent_keys():
+    rng = np.random.default_rng(3)
+    for n, top in ((0, 44), (1, 44), (5, 44), (20_000, 44), (300, 8)):
+        keys = np.sort(rng.integers(0, 1 << top, n, np.uint64))
+        assert (bloom_lm._decoded(bloom_lm._coded(keys)) == keys).all() and len(bloom_lm._decoded(bloom_lm._coded(keys))) == n
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    tracker = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        return sum(1 for f in tracker.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f and f.endswith(".data"))
+
+    before = shuffles()
+    df = spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count()
+    assert stored(df, "cleaned").count() == 97 and shuffles() <= before + 1  # the count itself shuffles
+    assert spark.conf.get(CLEANUP, "false") == "false"
+
+
 def test_filter_size_changes_no_score(docs):
     """A filter too large to broadcast is asked by a shuffle; nothing is left out of it."""
     held, sent = (
@@ -396,6 +479,37 @@ def test_spoken_address_in_any_top_level_domain(last):
     assert (kind, text[a:b]) == ("email", f"john at example dot {last}")
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("ping 192 dot 168 dot 0 dot 1 now", "ip", "192 dot 168 dot 0 dot 1"),
+        ("adresse 10 point 0 point 0 point 255.", "ip", "10 point 0 point 0 point 255"),
+        ("10.0 punkt 0.7", "ip", "10.0 punkt 0.7"),
+        ("schreib an max at beispiel punkt de bitte", "email", "max at beispiel punkt de"),
+        ("escribe a: ana arroba ejemplo punto es.", "email", "ana arroba ejemplo punto es"),
+        ("mailto:joe%40example.com", "email", "joe%40example.com"),
+        ("mail joe&#64;example&#46;com please", "email", "joe&#64;example&#46;com"),
+        ("mail joe&#x40;example&period;com", "email", "joe&#x40;example&period;com"),
+        ("write to john at example dot in.", "email", "john at example dot in"),
+        ("write to j.doe at example dot in the evening", "email", "j.doe at example dot in"),
+    ],
+)
+def test_marks_in_words_and_escapes(text, kind, span):
+    ((found, a, b),) = pii.disguised(text, pii.plain(text))
+    assert (found, text[a:b]) == (kind, span)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "meet me at home dot in the park", "the point is at hand, 3 point 5 percent", "version 1 dot 2 dot 3 dot 4 dot 5",
+        "300 dot 1 dot 1 dot 1", "un point de vue at large", "100% of AT&T; 5 &amp; 6", "he was at work dot to be fair",
+    ],
+)
+def test_prose_with_marks_in_words(text):
+    assert pii.disguised(text, pii.plain(text)) == []
+
+
 def test_clean_texts_have_no_disguised_spans(texts):
     prose = ["we look at the dot on example.com", "one two three of them at noon", "pay at one two three", "see (at) the end [.]"]
     assert not [s for t in [*texts.values(), *prose] for s in pii.disguised(t, pii.plain(t)) if s[0] != "email"]

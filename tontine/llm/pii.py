@@ -4,7 +4,7 @@ Four kinds are found: e-mail addresses, IP addresses, card numbers (Luhn) and ph
 matched on the source text as it is. Disguised ones are found by small transducers: each rewrites
 a text and carries, for each character it writes, the source offsets that it stands for. Homoglyphs and
 digits of other scripts become ASCII, invisible characters go, spelled digits become digits, and the
-usual disguises of @ and the dot become those marks. The same patterns then run on the rewritten text, and
+usual disguises of @ and the dot, in words, in brackets or as web pages escape them, become those marks. The same patterns then run on the rewritten text, and
 what they find is mapped back. Only places that hold a disguise are rewritten. A disguised span that lies within
 a plain one is dropped; one that reaches beyond it is added. Plain spans always stay. Redaction takes out the
 union of spans that overlap.
@@ -65,11 +65,21 @@ _SPELLED_ITEM = re.compile(rf"(?i)(plus)[ ]*|(dot|point|punkt|punto)[ ]*|({_WORD
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 AT = re.compile(rf"(?i)\s{{0,3}}{_OPEN}\s{{0,2}}(?:at|ät|@|arroba|arobase)\s{{0,2}}{_CLOSE}\s{{0,3}}")
 DOT = re.compile(rf"(?i)\s{{0,3}}{_OPEN}\s{{0,2}}(?:dot|punkt|point|punto|\.)\s{{0,2}}{_CLOSE}\s{{0,3}}")
+# The dot and the at sign in words, in English, German, French and Spanish.
+_DOT_WORD, _AT_WORD = "(?:dot|punkt|point|punto)", "(?:at|ät|arobase|arroba)"
+_SPOKEN_DOT = rf"\s+{_DOT_WORD}\s+"
 #: Unbracketed words are read as marks only in the whole shape of an address.
 SPOKEN = re.compile(
-    r"(?i)(?<![A-Za-z0-9._%+@-])([A-Za-z0-9_%+-]{1,64}(?:(?:\.|\s+dot\s+)[A-Za-z0-9_%+-]{1,64}){0,4})(\s+at\s+|\s*@\s*)([A-Za-z0-9-]{1,63})((?:(?:\s+dot\s+|\.)[A-Za-z0-9-]{1,63}){1,6})(?![A-Za-z0-9-])"
+    rf"(?i)(?<![A-Za-z0-9._%+@-])([A-Za-z0-9_%+-]{{1,64}}(?:(?:\.|{_SPOKEN_DOT})[A-Za-z0-9_%+-]{{1,64}}){{0,4}})(\s+{_AT_WORD}\s+|\s*@\s*)([A-Za-z0-9-]{{1,63}})((?:(?:{_SPOKEN_DOT}|\.)[A-Za-z0-9-]{{1,63}}){{1,6}})(?![A-Za-z0-9-])"
 )
-_SPOKEN_HINT = re.compile(r"(?i)\sdot\s|\sat\s+[a-z0-9-]+\.[a-z0-9]|\s@|@\s")
+_SPOKEN_HINT = re.compile(rf"(?i)\s{_DOT_WORD}\s|\s{_AT_WORD}\s+[a-z0-9-]+\.[a-z0-9]|\s@|@\s")
+#: Four numbers with dots between them, of which one at least is a word.
+SPOKEN_IP = re.compile(rf"(?i)(?<![\w.])[0-9]{{1,3}}(?:(?:\.|{_SPOKEN_DOT})[0-9]{{1,3}}){{3}}(?![0-9]|\.[0-9]|{_SPOKEN_DOT}[0-9])")
+_DOT_WORDS, _AT_WORDS = ("dot", "punkt", "point", "punto"), ("at", "ät", "arobase", "arroba")
+# The marks as web pages and addresses write them.
+ESCAPES = re.compile(r"(?i)%40|%2e|&#0*(?:64|46);|&#x0*(?:40|2e);|&commat;|&period;")
+# English words that are endings too; a spoken address isn't read into a sentence that goes on.
+WORD_ENDINGS = frozenset("am as at be by do in is it me my no so to us".split())
 _BRACKET_HINT = re.compile(rf"(?i){_OPEN}\s{{0,2}}(?:at|ät|@|arroba|arobase|dot|punkt|point|punto|\.)\s{{0,2}}{_CLOSE}")
 # Endings that a wholly spoken address must have: the top-level domains (of countries first), those
 # in ASCII code for other scripts (see ``ending``), and those reserved for examples.
@@ -245,6 +255,8 @@ def unmask_characters(r: Rewritten) -> Rewritten:
 
 
 def unmask_marks(r: Rewritten) -> Rewritten:
+    at_sign = ("%40", "64;", "x40;", "commat;")
+    r = r.replaced([(m.start(), m.end(), "@" if m[0].lower().endswith(at_sign) else ".") for m in ESCAPES.finditer(r.text)])
     r = r.replaced([(m.start(), m.end(), "@") for m in AT.finditer(r.text)])
     return r.replaced([(m.start(), m.end(), ".") for m in DOT.finditer(r.text)])
 
@@ -263,11 +275,23 @@ def unmask_spoken(r: Rewritten) -> Rewritten:
             continue  # "seen at example.com"
         if (spoken_at or spoken_dot) and not ending(last):
             continue
+        goes_on = re.match(r"\s+[a-z]", r.text[m.end() : m.end() + 9])
+        if spoken_at and last in WORD_ENDINGS and goes_on and not re.search(r"[0-9._%+-]", m[1]):
+            continue  # "meet me at home dot in the park"
         for g, new in ((1, None), (2, "@"), (4, None)):
             if new:
                 pieces.append((m.start(g), m.end(g), new))
             else:
-                pieces += [(m.start(g) + d.start(), m.start(g) + d.end(), ".") for d in re.finditer(r"(?i)\s+dot\s+", m[g])]
+                pieces += [(m.start(g) + d.start(), m.start(g) + d.end(), ".") for d in re.finditer(rf"(?i){_SPOKEN_DOT}", m[g])]
+    return r.replaced(pieces)
+
+
+def unmask_spoken_numbers(r: Rewritten) -> Rewritten:
+    pieces = []
+    for m in SPOKEN_IP.finditer(r.text):
+        if re.search(rf"(?i)[0-9](?:\.|{_SPOKEN_DOT})\Z", r.text[max(0, m.start() - 24) : m.start()]):
+            continue  # the end of a longer row of numbers
+        pieces += [(m.start() + d.start(), m.start() + d.end(), ".") for d in re.finditer(rf"(?i){_SPOKEN_DOT}", m[0])]
     return r.replaced(pieces)
 
 
@@ -285,6 +309,15 @@ def unmask_digits(r: Rewritten) -> tuple[Rewritten, list[tuple[int, int]]]:
     return r.replaced(pieces), runs
 
 
+def _between_digits(flat: str, word: str) -> bool:
+    at = flat.find(word)
+    while at >= 0:
+        if flat[at - 1 : at].isdigit() and flat[at + len(word) : at + len(word) + 1].isdigit():
+            return True
+        at = flat.find(word, at + 1)
+    return False
+
+
 def _hints(text: str) -> list[re.Pattern]:
     """The disguises that the text can hold at all, by plain searches that cost little."""
     words = text.lower().replace(",", " ").replace("-", " ").split()
@@ -292,8 +325,16 @@ def _hints(text: str) -> list[re.Pattern]:
     out = []
     if any(c in text for c in "[({<") and _BRACKET_HINT.search(text):
         out.append(_BRACKET_HINT)
-    if " dot " in flat or "@ " in flat or " @" in flat or any("." in t.split(" ", 1)[0].strip(".") for t in flat.split(" at ")[1:]):
+    # The words for a dot count only near a word for the at sign or between digits: "point" alone is common prose.
+    dots = [f" {w} " for w in _DOT_WORDS if f" {w} " in flat]
+    if dots and ("@" in text or any(f" {w} " in flat for w in _AT_WORDS) or any(_between_digits(flat, w) for w in dots)):
+        out.append(_SPOKEN_HINT)
+    elif "@ " in flat or " @" in flat or any(
+        "." in t.split(" ", 1)[0].strip(".") for w in _AT_WORDS if f" {w} " in flat for t in flat.split(f" {w} ")[1:]
+    ):
         out.append(_SPOKEN_HINT)
+    if ("%" in text or "&" in text) and ESCAPES.search(text):
+        out.append(ESCAPES)
     if sum(map(DIGIT_OF.__contains__, words)) >= 4:
         out.append(_SPELLED_HINT)
     if not text.isascii() and STRANGE.search(text):
@@ -320,7 +361,8 @@ def disguised(text: str, taken: list[Span]) -> list[Span]:
     busy = [(a, b) for _, a, b in taken]
     found: list[Span] = []
     for first, last in windows(text):
-        r, runs = unmask_digits(unmask_spoken(unmask_marks(unmask_characters(Rewritten.of(text, first, last)))))
+        r = unmask_marks(unmask_characters(Rewritten.of(text, first, last)))
+        r, runs = unmask_digits(unmask_spoken_numbers(unmask_spoken(r)))
         if r.text == text[first:last]:
             continue
         some = plain(r.text)
