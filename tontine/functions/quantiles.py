@@ -27,6 +27,7 @@ DIGITS = 4
 WIDTHS = [10 ** max(0, digits - DIGITS) for digits in range(1, 20)]
 
 EXACT = "decimal(38,0)"
+MOMENTS = ["size__", "sum__", "mean__", "variance__"]
 
 
 def _same(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
@@ -59,9 +60,9 @@ def _histogram(values: DataFrame, keys: list[str]) -> DataFrame:
     return bins.withColumns({"upto__": upto, "from__": upto - F.col("n__")})
 
 
-def _moments(bins: DataFrame, keys: list[str]) -> DataFrame:
-    """``n``, exact ``sum__`` of the cents, ``mean__`` and ``variance__``. Squares are summed as
-    exact offsets within bins, and between bins as distances from the group's mean."""
+def _with_moments(bins: DataFrame, keys: list[str]) -> DataFrame:
+    """On each bin, of its group: the size ``size__``, exact ``sum__`` of the cents, ``mean__`` and ``variance__``.
+    Squares are summed as exact offsets within bins, and between bins as distances from the group's mean."""
     in_group = Window.partitionBy(*keys)
     whole = (F.col("start__").cast("decimal(19,0)") * F.col("n__").cast("decimal(19,0)") + F.col("off__")).cast(EXACT)
     known = (
@@ -72,17 +73,12 @@ def _moments(bins: DataFrame, keys: list[str]) -> DataFrame:
     bin_n = dbl("n__")
     spread = dbl((F.col("off2__") * F.col("n__") - F.col("off__") * F.col("off__")).cast(EXACT)) / bin_n
     away = dbl("start__") - F.col("mean__") + dbl("off__") / bin_n
-    return known.groupBy(*keys).agg(
-        F.max("size__").alias("n"),
-        F.max("sum__").alias("sum__"),
-        F.max("mean__").alias("mean__"),
-        (F.sum(spread + bin_n * away * away) / F.max("size__")).alias("variance__"),
-    )
+    squares = F.sum(spread + bin_n * away * away).over(in_group)
+    return known.withColumn("variance__", squares / F.col("size__"))
 
 
 def _asked(bins: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
-    """The bins that hold wanted ranks, with these ranks counted within the bin."""
-    size = F.sum("n__").over(Window.partitionBy(*keys))
+    """The bins that hold wanted ranks, with these ranks counted within the bin, and the group's moments."""
     ranks = []
     for name, q in quantiles.items():
         position = (F.col("size__") - 1) * F.lit(float(q))
@@ -90,22 +86,26 @@ def _asked(bins: DataFrame, keys: list[str], quantiles: dict[str, float]) -> Dat
         ranks.append(F.struct(F.lit(f"{name}__hi").alias("slot"), F.ceil(position).alias("rank")))
     here = F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("from__")) & (r["rank"] < F.col("upto__")))
     within = F.transform(here, lambda r: F.struct(r["slot"].alias("slot"), (r["rank"] - F.col("from__")).alias("rank")))
-    return bins.withColumn("size__", size).select(*keys, "start__", within.alias("asked__")).where(F.size("asked__") > 0)
+    asked = bins.select(*keys, "start__", *MOMENTS, within.alias("asked__"))
+    return asked.where(F.size("asked__") > 0)
 
 
 def _picked(values: DataFrame, asked: DataFrame, keys: list[str], slots: list[str]) -> DataFrame:
-    """The values at the asked ranks, one column for each slot, per group."""
+    """Per group, its moments and the values at the asked ranks, one column for each slot."""
     inside = [*keys, "start__"]
     counted = probably_in(values, asked, inside).groupBy(*inside, "cents__").agg(F.count(F.lit(1)).alias("n__"))
     of_bin = _renamed(asked, inside)
     held = counted.join(of_bin, _same(inside, counted, of_bin))
     ordered = Window.partitionBy(*inside).orderBy("cents__").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.sum("n__").over(ordered)
-    placed = held.select(*keys, "cents__", "asked__", upto.alias("upto__"), (upto - F.col("n__")).alias("from__"))
+    placed = held.select(
+        *keys, "cents__", "asked__", *MOMENTS, upto.alias("upto__"), (upto - F.col("n__")).alias("from__")
+    )
     found = F.filter("asked__", lambda a: (a["rank"] >= F.col("from__")) & (a["rank"] < F.col("upto__")))
-    rows = placed.select(*keys, "cents__", F.explode(found).alias("found__"))
-    return rows.groupBy(*[F.col(k).alias(f"{k}__w") for k in keys]).agg(
-        *[F.max(F.when(F.col("found__.slot") == slot, F.col("cents__"))).alias(slot) for slot in slots]
+    rows = placed.select(*keys, "cents__", *MOMENTS, F.explode(found).alias("found__"))
+    return rows.groupBy(*keys).agg(
+        *[F.max(name).alias(name) for name in MOMENTS],
+        *[F.max(F.when(F.col("found__.slot") == slot, F.col("cents__"))).alias(slot) for slot in slots],
     )
 
 
@@ -120,20 +120,20 @@ def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str
     once = F.explode_outer(F.array((F.col(value) * 100).cast("long")))
     cents = df.select(*keys, once.alias("cents__")).where("cents__ IS NOT NULL")
     values = cents.select("*", bin_start("cents__").alias("start__"))
-    bins = _histogram(values, keys)
-    moments = _moments(bins, keys)
-    slots = [f"{name}__{end}" for name in quantiles for end in ("lo", "hi")]
-    picked = _picked(values, _asked(bins, keys, quantiles), keys, slots)
-    joined = moments.join(picked, _same(keys, moments, picked))
+    bins = _with_moments(_histogram(values, keys), keys)
+    # Every group has a first value, so none is lost if no quantile is wanted.
+    wanted = quantiles or {"first__": 0.0}
+    slots = [f"{name}__{end}" for name in wanted for end in ("lo", "hi")]
+    picked = _picked(values, _asked(bins, keys, wanted), keys, slots)
 
     def interpolated(name: str, q: float) -> Column:
         low, high = dbl(f"{name}__lo") / 100, dbl(f"{name}__hi") / 100
-        position = (F.col("n") - 1) * F.lit(float(q))
+        position = (F.col("size__") - 1) * F.lit(float(q))
         return low + (high - low) * (position - F.floor(position))
 
-    return joined.select(
+    return picked.select(
         *keys,
-        "n",
+        F.col("size__").alias("n"),
         (F.col("sum__") * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(38,2)").alias("total"),
         (F.col("mean__") / 100).alias("mean"),
         (F.sqrt("variance__") / 100).alias("deviation"),
