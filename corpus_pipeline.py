@@ -3,7 +3,8 @@
 Each stage is a function (spark, docs, sf_dir) that returns a DataFrame; all but the last return the
 columns of ``docs``. ``run`` writes each stage's rows as Parquet into the shared folder and reads them again.
 Rows are matched to decisions by id; a NULL id matches itself. Of rows that repeat one id, all go or stay
-together, but for copies of the same text, of which one stays. An empty table passes through empty.
+together, but for copies of the same text, of which one stays. Long texts are judged whole and packed in several
+pieces. Columns of any name pass through. An empty table passes through empty.
 """
 
 from __future__ import annotations
