@@ -18,7 +18,8 @@ So neither a frequent word nor a large vocabulary meets in one task.
 
 Defined results: NULL text counts as empty, which is one end token. Rows with the same id are scored each
 for itself. A row without an id is scored, never trained on. Without training text all counts are zero and
-the base probability is 1 for each token's only class, log10(0.1/0.1) = 0. An empty table gives none.
+the base probability is 1 for each token's only class, log10(0.1/0.1) = 0. Texts of any length are scored
+whole, by one task each. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations

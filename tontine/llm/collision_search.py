@@ -12,7 +12,7 @@ the best k of each are merged. So no task holds all vectors or all queries.
 
 Defined results: vectors that are NULL, zero, of another length than most, or hold a NULL or non-finite
 component take no part. Ties go to the smaller id. Of rows with the same id each takes part; a query never
-finds rows with its own id. Rows without an id take no part. An empty table gives none.
+finds rows with its own id. Rows without an id take no part. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ one number for each sixty words, and the long texts are not moved again.
 
 Defined results: NULL text counts as empty, empty texts are equal to each other. A group's row with the
 smallest id stays; a missing id comes after all others, and of rows with the same id any single one
-stays. Every input row gives one output row; an empty table gives none. Other columns are ignored.
+stays. Every input row gives one output row, however long its text; an empty table gives none. Other columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ back to fit the temperature that calibrates the scores. Training sees features o
 
 Defined results: NULL text or no letter: ``und`` with score 1. Without any labelled training row all texts
 with a letter are ``und`` with score 0. Rows with a NULL language or id are predicted, never learned from. Rows with
-the same id are predicted each for itself; an empty table gives none. Other columns are ignored.
+the same id are predicted each for itself; of languages that tie, the first in order of name is given. Texts are
+read whole, by one task each. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations

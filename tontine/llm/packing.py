@@ -8,7 +8,8 @@ the sum of squared fills; it ends when nothing fits or the lower bound is reache
 sequence at most beyond what its best-fit rest leaves.
 
 Defined results: a NULL or empty text is the end mark alone, one token. Rows with the same id are packed
-each for itself; a missing id is kept. An empty table gives no rows. Other columns are ignored.
+each for itself; a missing id is kept. Pieces of equal length are taken in the order of their rows. Long texts are
+cut into full pieces, each a sequence of its own, and a rest. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

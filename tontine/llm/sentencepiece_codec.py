@@ -3,11 +3,13 @@
 The model file's protobuf is read here; its normaliser, the metaspace mark, the pieces' scores and the
 byte fallback are rebuilt for the tokenizers library, for unigram and for BPE models. Texts are cut before
 each run of marks, where no piece of the model reaches across (checked when the model is read; a model
-with such pieces is encoded uncut). Each batch encodes its different chunks, many threads at a time, checks
-each against the SentencePiece library, and puts texts together from chunks.
+with such pieces is encoded uncut). Each batch encodes the chunks that are new to it, joined to rows of up to 2,000, one
+call a row (those that can't be joined, or whose row differs, as one batch over threads), checks them against the
+SentencePiece library, and puts texts together from chunks. Both sides see the text as normalised here.
 
 Defined results: NULL counts as empty; an empty text has no ids. Any text round-trips, by bytes where the
-vocabulary has no piece. Rows with the same id are encoded each for itself; an empty table gives none.
+vocabulary has no piece. Rows with the same id are encoded each for itself; texts of any length are encoded whole, by
+one task each. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ member, whatever the size of the bucket. (At radius 1 it is linked to the member
 
 Defined results: NULL and empty texts have fingerprint zero and are linked like any other. Rows with the
 same id are fingerprinted each for itself. A missing id takes part, but never names a component unless
-all its ids are missing (then NULL). An empty table gives none. Other columns are ignored.
+all its ids are missing (then NULL). Long texts are read whole, in blocks of shingles. An empty table gives none.
+Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ gets the log-odds by which the drawn rows' classes differ from all rows', so the
 
 Defined results: NULL text counts as empty and is scored by the bias alone. Labels that are neither 0 nor 1,
 or belong to no document, are left out; of several labels of one id the largest counts. Without labels of both classes every
-score is the share of toxic labels, or 0. Rows with the same id are scored each for itself. Empty: none.
+score is the share of toxic labels, or 0. Rows with the same id are scored each for itself; texts of any length are
+scored whole, by one task each. An empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations
