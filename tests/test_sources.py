@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from samples import claims, multiset, policies, reserves
@@ -149,3 +150,19 @@ def test_column_digests_find_any_changed_value(spark):
     other = {r.column_name: (r.known, r.digest) for r in checks.column_digests(claims(spark, *rows[:3], rows[3] | {"paid_amount": 3.01})).collect()}
     assert {c for c in digests if other[c] != digests[c]} == {"paid_amount"}
     assert {(r.known, r.digest) for r in checks.column_digests(claims(spark)).collect()} == {(0, "0")}
+
+
+def test_tasks_are_small_and_files_are_not(spark, monkeypatch):
+    session.configure(spark)
+    size, write = lambda: spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"), DataFrameWriter.parquet
+    assert size() == "16m"
+    seen = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(size()), write(self, path)))
+    for table in ("claims", "reserves"):
+        write_table(sample(spark, table), table, scratch_path(spark, table))
+    assert seen == ["64m", "16m"] and size() == "16m"
+    path = scratch_path(spark, "claims")
+    write_table(sample(spark, "claims"), "claims", path)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_table(sample(spark, "claims"), "claims", path, mode="error")
+    assert size() == "16m"

@@ -13,11 +13,15 @@ from pyspark.sql import types as T
 
 from tontine.functions import calendar_month
 from tontine.schemas import TABLES
+from tontine.session import ADVISORY
 
 # CSV as spreadsheet tools write it: JSON text is quoted, inner quotes are doubled. With a mark for
 # missing values, quoted empty text stays text; a blank field is read as missing as well.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "\\N"}
 
+# Shuffled bytes of the rows of a file, where a table has partitions; the session's tasks are smaller.
+FILE_BYTES = "64m"
+
 # How each table is laid out: partition columns, and the sort order inside a file, which
 # gives the row-group statistics something to skip on.
 LAYOUT = {
@@ -116,6 +120,14 @@ def write_table(
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(mode)
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.option("compression", "snappy").parquet(path)
+    writer = writer.option("compression", "snappy")
+    if not partitions:
+        writer.parquet(path)
+        return
+    spark = df.sparkSession
+    before = spark.conf.get(ADVISORY)
+    spark.conf.set(ADVISORY, FILE_BYTES)
+    try:
+        writer.partitionBy(*partitions).parquet(path)
+    finally:
+        spark.conf.set(ADVISORY, before)
