@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from samples import claims, multiset, policies, reserves
 from tontine import session
 from tontine.operators import checks, derive
+from tontine.plans import registry
 from tontine.session import scratch_path
 from tontine.sources import star_schema
 from tontine.sources.tables import read_footers, read_table, write_bucketed, write_table
@@ -166,3 +167,12 @@ def test_tasks_are_small_and_files_are_not(spark, monkeypatch):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         write_table(sample(spark, "claims"), "claims", path, mode="error")
     assert size() == "16m"
+
+
+def test_buckets_grow_with_the_claims(spark):
+    path = scratch_path(spark, "bucket-source")
+    spark.range(30).selectExpr("id as l_orderkey").write.parquet(f"{path}/lineitem.parquet")
+    assert registry._buckets(spark, path) == 8
+    big = scratch_path(spark, "bucket-source")
+    spark.range(4_500_001).selectExpr("id as l_orderkey").write.parquet(f"{big}/lineitem.parquet")
+    assert registry._buckets(spark, big) == 10

@@ -200,7 +200,12 @@ _FOOTERS = [
     for name, source in (("policies", star.policies), ("claims", star.claims), ("reserves", star.reserves))
 ]
 
-BUCKETS = 8
+BUCKETS, ROWS_IN_BUCKET = 8, 500_000
+
+
+def _buckets(spark: SparkSession, sf_dir: str) -> int:
+    """The buckets of claims and policies alike: so many that a bucket's claims fit in a task at any size of the table."""
+    return max(BUCKETS, -(-star.source(spark, sf_dir, "lineitem").count() // ROWS_IN_BUCKET))
 
 
 def _bucketed(name: str, source: Query) -> Query:
@@ -211,7 +216,7 @@ def _bucketed(name: str, source: Query) -> Query:
         if key not in _STORED:
             path = scratch_path(spark, f"bucketed-{name}")
             table = path.rsplit("/", 1)[-1].replace("-", "_")
-            tables.write_bucketed(source(spark, sf_dir), table, path, buckets=BUCKETS)
+            tables.write_bucketed(source(spark, sf_dir), table, path, buckets=_buckets(spark, sf_dir))
             _STORED[key] = table
         return spark.table(_STORED[key])
 
