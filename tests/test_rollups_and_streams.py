@@ -188,3 +188,19 @@ def test_a_stale_record_never_wins(spark):
         stateful._changes(rollup, groups, number).write.mode("overwrite").parquet(f"{target}/partials/batch={number}")
     got = stateful.current(rollup, spark, target, claims(spark).schema)
     assert multiset(got) == multiset(rollup.batch(claims(spark, *CLAIMS)))
+
+
+def test_state_has_no_more_partitions_than_asked_for(spark):
+    rollup, source, target = rollups.triangle(), scratch_path(spark, "in"), scratch_path(spark, "out")
+    write_table(claims(spark, *CLAIMS), "claims", source)
+    before = {key: spark.conf.get(key) for key in (stateful.PROVIDER, stateful.PARTITIONS)}
+    for asked, expected in ((2, 2), (1000, int(before[stateful.PARTITIONS])), (None, int(before[stateful.PARTITIONS]))):
+        path = f"{target}/{asked}"
+        query = stateful.start(rollup, read_table_stream(spark, "claims", source), path, partitions=asked)
+        assert {key: spark.conf.get(key) for key in before} == before
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == expected
+    # A later start goes on with the partitions that there are.
+    write_table(claims(spark, CLAIMS[0]), "claims", source)
+    again = stateful.run(rollup, read_table_stream(spark, "claims", source), f"{target}/2", partitions=3)
+    assert multiset(again) == multiset(rollup.batch(claims(spark, *CLAIMS, CLAIMS[0])))

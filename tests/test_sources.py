@@ -9,7 +9,7 @@ from tontine import session
 from tontine.operators import checks, derive
 from tontine.plans import registry
 from tontine.session import scratch_path
-from tontine.sources import star_schema
+from tontine.sources import star_schema, tables
 from tontine.sources.tables import read_footers, read_table, write_bucketed, write_table
 
 JSON = '{"note": "a, \\"quoted\\" word", "catastrophe_related": true}'
@@ -169,6 +169,19 @@ def test_tasks_are_small_and_files_are_not(spark, monkeypatch):
     assert size() == "16m"
 
 
+def test_stored_size_counts_data_files(spark):
+    path = scratch_path(spark, "sized")
+    write_table(sample(spark, "claims"), "claims", path)
+    size = tables.stored_size(spark, path)
+    assert size.files == 3 and size.bytes > 0
+
+
+@pytest.mark.parametrize("files,mb,expected", [(7, 97, 3), (55, 1109, 19), (330, 6600, 51), (1, 1, 3), (0, 0, 3)])
+def test_batches_grow_with_the_table_up_to_their_bytes(spark, monkeypatch, files, mb, expected):
+    monkeypatch.setattr(tables, "stored_size", lambda spark, path: tables.StoredSize(files, mb * 1024**2))
+    assert registry._files_in_batch(spark, "claims", "anywhere") == expected
+
+
 def test_buckets_grow_with_the_claims(spark):
     path = scratch_path(spark, "bucket-source")
     spark.range(30).selectExpr("id as l_orderkey").write.parquet(f"{path}/lineitem.parquet")

@@ -173,8 +173,17 @@ def _retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(loads.read_loads(spark, "claims", path), "claims")
 
 
-# Several micro-batches of the stored tables: claims have a file a year, policies one a month.
+# Several micro-batches of the stored tables: claims have a file a year, policies one a month. Larger tables have more
+# files, and take more of them at once: a batch costs the same whether it is small or not.
 FILES_IN_BATCH = {"claims": 3, "policies": 30, "reserves": 1}
+LEAST_BATCHES, BATCH_BYTES = 3, 1024**3
+
+
+def _files_in_batch(spark: SparkSession, table: str, path: str) -> int:
+    """As many files as ``BATCH_BYTES`` hold on the average, but no more than leave ``LEAST_BATCHES`` batches."""
+    stored = tables.stored_size(spark, path)
+    by_bytes = BATCH_BYTES * stored.files // max(stored.bytes, 1)
+    return max(FILES_IN_BATCH[table], min(by_bytes, -(-stored.files // LEAST_BATCHES)))
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -244,16 +253,22 @@ def _insertions(table: str, source: Query) -> Query:
     def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"stream-{table}")
         tables.write_table(source(spark, sf_dir), table, path)
-        return tables.read_table_stream(spark, table, path, max_files_per_trigger=FILES_IN_BATCH[table])
+        return tables.read_table_stream(spark, table, path, max_files_per_trigger=_files_in_batch(spark, table, path))
 
     return stream
 
 
+# The rollups kept as state have some thousand groups at any size of the claims.
+STATE_PARTITIONS = 12
+
+
 def _streamed(source: Query, rollup: Callable[[], rollups.Rollup], upkeep=incremental) -> Query:
+    options = {"partitions": STATE_PARTITIONS} if upkeep is stateful else {}
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         rows = source(spark, sf_dir)
-        return comparable(upkeep.run(rollup(), rows, scratch_path(spark, "rollup"), compact_every=2))
+        return comparable(upkeep.run(rollup(), rows, scratch_path(spark, "rollup"), compact_every=2, **options))
 
     return run
 

@@ -6,6 +6,8 @@ credentials come from the Hadoop configuration. Scans are distributed by Spark.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,23 @@ def read_footers(spark: SparkSession, table: str, path: str) -> DataFrame:
     return conform(found, TABLES[table])
 
 
+class StoredSize(NamedTuple):
+    files: int
+    bytes: int
+
+
+def stored_size(spark: SparkSession, path: str) -> StoredSize:
+    """The number of data files below a path, and their bytes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    found, files, size = root.getFileSystem(conf).listFiles(root, True), 0, 0
+    while found.hasNext():
+        status = found.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            files, size = files + 1, size + status.getLen()
+    return StoredSize(files, size)
+
+
 def read_table_stream(
     spark: SparkSession,
     table: str,

@@ -5,6 +5,9 @@ changed, with their new measures (update mode); they are stored under the batch'
 the one of the newest batch counts. So a repeated batch replaces itself, and what is stored is merged into snapshots
 just as the partial rollups of ``incremental`` are: as a rollup whose one measure is the newest record.
 
+Every batch opens, commits and writes each partition of the state, however few groups it changes. ``partitions`` limits
+their number where there are few groups; it stays what it was at the first start of a checkpoint.
+
 Choose this where each batch changes few groups and readers want the groups as they are now; choose ``incremental``
 where there are very many groups, since it needs no state at all.
 """
@@ -22,6 +25,7 @@ from tontine.operators.rollups import Rollup
 from tontine.streaming import incremental
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,12 +50,18 @@ def _as_read(schema: T.StructType) -> T.StructType:
 
 
 def start(
-    rollup: Rollup, rows: DataFrame, path: str, *, compact_every: int = incremental.COMPACT_EVERY, **trigger
+    rollup: Rollup,
+    rows: DataFrame,
+    path: str,
+    *,
+    compact_every: int = incremental.COMPACT_EVERY,
+    partitions: int | None = None,
+    **trigger,
 ) -> StreamingQuery:
     """Keep the rollup of a stream under ``path`` up to date, with its state in the checkpoint there. With no
     trigger given, everything available is processed and the query then stops; a later start goes on from there."""
     spark = rows.sparkSession
-    before = spark.conf.get(PROVIDER)
+    before = {key: spark.conf.get(key) for key in (PROVIDER, PARTITIONS)}
     changes = newest(rollup)
 
     def store(groups: DataFrame, number: int) -> None:
@@ -61,6 +71,8 @@ def start(
             incremental.compact(changes, groups.sparkSession, path, _as_read(found.schema))
 
     spark.conf.set(PROVIDER, ROCKSDB)
+    if partitions:
+        spark.conf.set(PARTITIONS, min(partitions, int(before[PARTITIONS])))
     try:
         # The query takes the settings of the session as they are when it starts.
         return (
@@ -72,7 +84,8 @@ def start(
             .start()
         )
     finally:
-        spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def current(rollup: Rollup, spark: SparkSession, path: str, rows: T.StructType) -> DataFrame:
@@ -83,7 +96,14 @@ def current(rollup: Rollup, spark: SparkSession, path: str, rows: T.StructType)
     return rollup.finish(merged)
 
 
-def run(rollup: Rollup, rows: DataFrame, path: str, *, compact_every: int = incremental.COMPACT_EVERY) -> DataFrame:
+def run(
+    rollup: Rollup,
+    rows: DataFrame,
+    path: str,
+    *,
+    compact_every: int = incremental.COMPACT_EVERY,
+    partitions: int | None = None,
+) -> DataFrame:
     """Process what is available and return the resulting rollup."""
-    start(rollup, rows, path, compact_every=compact_every).awaitTermination()
+    start(rollup, rows, path, compact_every=compact_every, partitions=partitions).awaitTermination()
     return current(rollup, rows.sparkSession, path, rows.schema)
