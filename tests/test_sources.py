@@ -189,3 +189,29 @@ def test_buckets_grow_with_the_claims(spark):
     big = scratch_path(spark, "bucket-source")
     spark.range(4_500_001).selectExpr("id as l_orderkey").write.parquet(f"{big}/lineitem.parquet")
     assert registry._buckets(spark, big) == 10
+
+
+def test_claims_stored_from_their_items_are_the_claims(spark):
+    session.configure(spark)
+    schema = star_schema.SOURCE_SCHEMAS
+    day = "timestamp_ntz'199{} 00:00:00'"
+    lines = [
+        f"({k}L, {p}, 3L, {n}, {q}, {price}, 0.05D, {d})"
+        for k, p, n, q, price, d in [
+            (1, "7L", "1", "3D", "100.25D", day.format("5-03-01")),
+            (1, "7L", "1", "3D", "100.25D", day.format("5-03-01")),
+            (2, "NULL", "NULL", "NULL", "NULL", day.format("6-12-31")),
+            (3, "9L", "2", "50D", "99.99D", "NULL"),
+            (4, "27L", "2", "1D", "5D", day.format("6-01-01")),
+        ]
+    ]
+    names = ", ".join(c.split()[0] for c in schema["lineitem"].split(", "))
+    lineitem = spark.sql(f"SELECT * FROM VALUES {', '.join(lines)} AS t({names})")
+    orders = spark.createDataFrame([(1, 1, 9.0, None), (2, 2, 9.0, None), (3, 9, 9.0, None)], schema["orders"])
+    customer = spark.createDataFrame([(1, 1, "BUILDING"), (2, None, None)], schema["customer"])
+    items = star_schema.claim_items_from(lineitem, orders, customer)
+    assert not {"claim_attributes", "claim_number", "claim_cause"} & set(items.columns)
+    expected = multiset(tables.conform(star_schema.claims_from(lineitem, orders, customer), tables.TABLES["claims"]))
+    path = scratch_path(spark, "claim-items")
+    write_table(items, "claims", path, finish=star_schema.claims_of_items)
+    assert multiset(read_table(spark, "claims", path)) == expected

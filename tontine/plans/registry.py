@@ -189,6 +189,10 @@ def _files_in_batch(spark: SparkSession, table: str, path: str) -> int:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
+# Claims are stored from their narrow source columns: texts and amounts are derived behind the shuffle and the sort.
+FINISH = {star.claim_items: star.claims_of_items}
+
+
 def _stored(name: str, source: Query, table: str | None = None, reader=tables.read_table) -> Query:
     """The table in its layout on shared storage, written by the first query of the session that needs
     it (the ``load_*`` queries show what that costs) and read by all."""
@@ -197,7 +201,7 @@ def _stored(name: str, source: Query, table: str | None = None, reader=tables.re
         key = (spark.sparkContext.applicationId, sf_dir, name)
         if key not in _STORED:
             path = scratch_path(spark, f"stored-{name}")
-            tables.write_table(source(spark, sf_dir), table or name, path)
+            tables.write_table(source(spark, sf_dir), table or name, path, finish=FINISH.get(source))
             _STORED[key] = path
         return reader(spark, table or name, _STORED[key])
 
@@ -206,7 +210,7 @@ def _stored(name: str, source: Query, table: str | None = None, reader=tables.re
 
 _FOOTERS = [
     _stored(name, source, reader=tables.read_footers)
-    for name, source in (("policies", star.policies), ("claims", star.claims), ("reserves", star.reserves))
+    for name, source in (("policies", star.policies), ("claims", star.claim_items), ("reserves", star.reserves))
 ]
 
 BUCKETS, ROWS_IN_BUCKET = 8, 500_000
@@ -252,7 +256,7 @@ def _insertions(table: str, source: Query) -> Query:
 
     def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"stream-{table}")
-        tables.write_table(source(spark, sf_dir), table, path)
+        tables.write_table(source(spark, sf_dir), table, path, finish=FINISH.get(source))
         return tables.read_table_stream(spark, table, path, max_files_per_trigger=_files_in_batch(spark, table, path))
 
     return stream
@@ -274,10 +278,10 @@ def _streamed(source: Query, rollup: Callable[[], rollups.Rollup], upkeep=increm
 
 
 _policy_insertions = _insertions("policies", star.policies)
-_claim_insertions = _insertions("claims", star.claims)
+_claim_insertions = _insertions("claims", star.claim_items)
 
 
-_stored_claims = _over(_stored("claims", star.claims))
+_stored_claims = _over(_stored("claims", star.claim_items))
 _stored_reserves = _over(_stored("reserves", star.reserves))
 
 

@@ -156,25 +156,48 @@ def claim_facts_from(lineitem: DataFrame, *described: str) -> DataFrame:
     )
 
 
-def claims_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Claims with the line of business and geography of their order's customer.
-
-    The joins come first and move the narrow source columns; texts and amounts are derived
-    from them afterwards.
-    """
+def _described_items(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
     description = orders.join(
         _customer_description(customer), F.col("o_custkey") == F.col("c_custkey"), "left"
     ).select("o_orderkey", "line_of_business", "geography")
-    described = lineitem.join(description, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return lineitem.join(description, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+
+
+def _claims_of_described(described: DataFrame, *kept: str) -> DataFrame:
     causes = " ".join(
         f"when '{line}' then element_at({_texts(names)}, cause_number + 1)"
         for line, names in A.CLAIM_CAUSES.items()
     )
-    return claim_facts_from(described, "line_of_business", "geography").selectExpr(
+    return claim_facts_from(described, "line_of_business", "geography", *kept).selectExpr(
         "* except (cause_number)", f"case line_of_business {causes} end as claim_cause"
     )
 
 
+def claims_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Claims with the line of business and geography of their order's customer.
+
+    The joins come first and move the narrow source columns; texts and amounts are derived
+    from them afterwards.
+    """
+    return _claims_of_described(_described_items(lineitem, orders, customer))
+
+
+def claim_items_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """The claims' source columns and what the stored table is laid out by, so that these are moved and sorted in place
+    of the claims, which are three times as wide; :func:`claims_of_items` gives the claims."""
+    items = _described_items(lineitem, orders, customer).drop("o_orderkey")
+    keys = claim_facts_from(items, *items.columns)
+    return keys.select(*items.columns, "claim_id", "accident_year", "development_month")
+
+
+def claims_of_items(items: DataFrame) -> DataFrame:
+    """Claims of :func:`claim_items_from`. The accident year is taken over, which keeps rows sorted by it known as such."""
+    sources = items.drop("claim_id", "development_month").withColumnRenamed("accident_year", "item_year")
+    return _claims_of_described(sources, "item_year").selectExpr(
+        "* except (accident_year, item_year)", "item_year as accident_year"
+    )
+
+
 def policy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Policies without line of business, geography and risk factors: no join."""
     return policy_facts_from(source(spark, sf_dir, "orders"))
@@ -193,6 +216,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims_from(*[source(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")])
 
 
+def claim_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claim_items_from(*[source(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")])
+
+
 def with_assumptions(groups: DataFrame) -> DataFrame:
     """Assumption columns of a contract group, as plain arithmetic on its keys."""
     numbered = groups.selectExpr(

@@ -6,6 +6,7 @@ credentials come from the Hadoop configuration. Scans are distributed by Spark.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -116,17 +117,26 @@ def write_bucketed(df: DataFrame, name: str, path: str, *, key: str = "policy_id
 
 
 def write_table(
-    df: DataFrame, table: str, path: str, fmt: str = "parquet", mode: str = "append"
+    df: DataFrame,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "append",
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Append (or overwrite) rows of a table in its layout. ``mode='replace_partitions'`` replaces the
     partitions that the rows belong to and leaves the others, so a load of whole partitions can be repeated.
 
     The rebalance hint lets the adaptive planner merge small partitions and split a
     partition value that holds much of the data, so files come out evenly sized.
+
+    With ``finish``, ``df`` has what the rows are derived from, and the columns of the layout. These are moved and
+    sorted, and ``finish`` gives the rows from them where they are written; it must take the partition columns over.
     """
     partitions, order = LAYOUT[table]
-    rows = conform(df, TABLES[table])
+    rows = df if finish else conform(df, TABLES[table])
     if fmt == "csv":
+        rows = conform(finish(rows), TABLES[table]) if finish else rows
         rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
         return
     if "effective_month" in partitions:
@@ -134,7 +144,10 @@ def write_table(
     laid_out = rows.hint("rebalance", *[F.col(c) for c in partitions])
     if mode == "replace_partitions" and not partitions:
         raise ValueError(f"{table} has no partitions")
-    writer = laid_out.sortWithinPartitions(*partitions, *order).write
+    laid_out = laid_out.sortWithinPartitions(*partitions, *order)
+    if finish:
+        laid_out = conform(finish(laid_out), TABLES[table])
+    writer = laid_out.write
     if mode == "replace_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
