@@ -215,3 +215,31 @@ def test_claims_stored_from_their_items_are_the_claims(spark):
     path = scratch_path(spark, "claim-items")
     write_table(items, "claims", path, finish=star_schema.claims_of_items)
     assert multiset(read_table(spark, "claims", path)) == expected
+
+
+def test_shuffles_of_claims_get_partitions_for_the_line_items(spark, monkeypatch):
+    path = scratch_path(spark, "star")
+    spark.range(100).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "1D AS l_quantity", "9D AS l_extendedprice",
+        "0D AS l_discount", "timestamp_ntz'2021-01-01' AS l_shipdate",
+    ).write.parquet(f"{path}/lineitem.parquet")
+    spark.range(100).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "1D AS o_totalprice", "timestamp_ntz'2021-01-01' AS o_orderdate"
+    ).write.parquet(f"{path}/orders.parquet")
+    spark.range(100).selectExpr("id AS c_custkey", "1 AS c_nationkey", "'BUILDING' AS c_mktsegment").write.parquet(f"{path}/customer.parquet")
+    own = spark.newSession()
+    session.configure(own)
+    own.conf.set("spark.sql.shuffle.partitions", 4)
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+
+    def begun() -> set[str]:
+        df = registry.queries()["contract_groups"](own, path)
+        return set(re.findall(r"hashpartitioning\(l_orderkey.*?, (\d+)\)", df._jdf.queryExecution().executedPlan().toString()))
+
+    assert begun() == {"4"}
+    monkeypatch.setattr(star_schema, "ROWS_IN_TASK", 9)
+    assert begun() == {"12"}
+    assert [tuple(r) for r in registry.queries()["contract_groups"](own, path).select("policy_count", "claim_count").collect()] == [(100, 100)]
+    own.conf.set("spark.sql.shuffle.partitions", 40)
+    session.shuffle_into(own, 30)
+    assert int(own.conf.get(session.INITIAL)) == 12

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 # Runtime settings that the operators rely on. All are per-session SQL settings, so a
 # cluster's own executor and memory configuration stays as it is.
@@ -33,6 +34,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_into(spark: SparkSession, partitions: int) -> None:
+    """Have shuffles begin with so many partitions at least. The adaptive planner merges small ones up to the advisory
+    size, but splits none below an aggregation: with a fixed number a task's share would grow with the input."""
+    begun = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(INITIAL, None) or 0))
+    if partitions > begun:
+        spark.conf.set(INITIAL, partitions)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The application's own folder below the one that ``spark.checkpoint.dir`` names, which every
     executor must reach. Hadoop's file system removes it when the application ends.

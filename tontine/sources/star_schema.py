@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tontine import assumptions as A
 from tontine.operators import derive
+from tontine.session import shuffle_into
 
 MONEY = "decimal(18,2)"
 
@@ -212,12 +213,23 @@ def claim_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claim_facts_from(source(spark, sf_dir, "lineitem")).drop("cause_number")
 
 
+# Line items that a task joins and combines: about 10 MB of shuffled rows, below the advisory size.
+ROWS_IN_TASK = 250_000
+
+
+def _claim_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """What claims are joined from. Shuffles get partitions for the line items, whose number the footers tell."""
+    lineitem, orders, customer = [source(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")]
+    shuffle_into(spark, -(-lineitem.count() // ROWS_IN_TASK))
+    return [lineitem, orders, customer]
+
+
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return claims_from(*[source(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")])
+    return claims_from(*_claim_sources(spark, sf_dir))
 
 
 def claim_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return claim_items_from(*[source(spark, sf_dir, name) for name in ("lineitem", "orders", "customer")])
+    return claim_items_from(*_claim_sources(spark, sf_dir))
 
 
 def with_assumptions(groups: DataFrame) -> DataFrame:
