@@ -24,6 +24,7 @@ from tontine.llm import (
     sentencepiece_codec,
     simhash,
     toxicity,
+    wordtokens,
 )
 
 from tontine.llm.common import CLEANUP, stored
@@ -292,6 +293,31 @@ def test_toxicity_sample_moves_no_decision(spark):
     assert np.mean([r.score for r in capped.values()]) < 0.15
 
 
+def test_token_ids_are_those_of_the_library(texts, monkeypatch):
+    """Also where texts are cut into pieces here, and where the memory starts anew."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = wordtokens.WordTokenizer(path)
+    latin = [chr(c) for c in range(256)]
+    rng = random.Random(5)
+    odd = [a + b for a in latin for b in latin[:64] + latin[127:192:3]]
+    odd += ["".join(rng.choices([*latin, *"''''sStrevemlld  "], k=20)) for _ in range(2000)]
+    odd += ["", "a<|endoftext|>b", "İx Œuf ΣΣ", "H̱ é", "你 好", "don't DON'T '''s 's\xa0\xe9\x85"]
+    odd += [t or "" for t in texts.values()]
+    monkeypatch.setattr(wordtokens, "REMEMBERED", 5000)
+    for text, ids in zip(odd, tokenizer.batch(odd), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_pieces_of_latin_text_are_encoded_once():
+    tokenizer = wordtokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    list(tokenizer.batch(["Word word, WORD. (word)", "word; word \xe9t\xe9 \xc9T\xc9"]))
+    assert set(tokenizer.pieces) == {"word", ",", ".", "(", ")", ";", "\xe9t\xe9"} and set(tokenizer.known) == {""}
+    # Another normalisation is left to the tokenizer.
+    tokenizer.cuts = False
+    list(tokenizer.batch(["Word word,"]))
+    assert set(tokenizer.known) == {"", "Word", "word,"}
+
+
 def test_packing(spark, docs, texts):
     from tokenizers import Tokenizer
 
