@@ -1,6 +1,7 @@
 """Each operator against brute force, the library it rebuilds, or held-out labels."""
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -28,6 +29,7 @@ from tontine.llm import (
 )
 
 from tontine.llm.common import CLEANUP, stored
+from tontine.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -204,6 +206,25 @@ def test_filter_size_changes_no_score(docs):
     assert all(held[i] == pytest.approx(sent[i], rel=1e-12) for i in held)
 
 
+def test_planes_of_token_numbers():
+    rng = np.random.default_rng(4)
+    for n, top in ((0, 2), (1, 2), (9, 256), (1000, 1 << 16), (1000, 1 << 32)):
+        numbers = rng.integers(0, top, n)
+        assert (bloom_lm._from_planes(bloom_lm._planes(numbers)) == numbers).all()
+        assert len(bloom_lm._from_planes(bloom_lm._planes(numbers))) == n
+
+
+@pytest.mark.parametrize("size", [1 << 25, 1])
+def test_bloom_lm_keeps_no_table_it_has_read(spark, size):
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    rows = [(i, f"common words {i % 7} and {i}") for i in range(300)]
+    scored = bloom_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), filter_bytes=size)
+    left = {path.name.rsplit("-", 1)[0] for path in set(folder.iterdir()) - before}
+    assert left == {"word-counts", "rated"} | ({"scores"} if size == 1 else set())
+    assert scored.count() == 300
+
+
 def test_sentencepiece_parity_and_round_trip(docs, texts, spark):
     import sentencepiece
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import arrow_map, as_batch, held_out, narrow, rows_of, stored
+from tontine.llm.common import arrow_map, as_batch, discard, held_out, narrow, rows_of, stored
 
 END = "\n"  # cannot be a word: words hold no white space
 ALPHA = 0.1
@@ -264,9 +264,19 @@ def text_scores(
     return out
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, byte by byte: the lowest of all, then the next, of which the upper ones compress to little."""
+    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _from_planes(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+
+
 def _unpacked(sizes: bytes, tokens: bytes, words: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """A piece's texts as numbers, the keys of its words, its different pairs and the pair at each place."""
-    ids = np.split(np.frombuffer(zlib.decompress(tokens), "<u4").astype(np.int64), np.cumsum(np.frombuffer(sizes, "<u4"))[:-1])
+    ids = np.split(_from_planes(tokens).astype(np.int64), np.cumsum(np.frombuffer(sizes, "<u4"))[:-1])
     unique, back = np.unique(_codes(ids), return_inverse=True)
     return ids, np.frombuffer(words, "<u8"), unique, back
 
@@ -301,7 +311,7 @@ def _decoded(coded: bytes) -> np.ndarray:
 
 def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int, total: int, different: int) -> DataFrame:
     """``row, score`` of the texts of ``pieces (row, sizes, tokens, words)``; a piece's texts have the rows
-    from its own on. No task holds more than ``TOGETHER`` blocks."""
+    from its own on. No task holds more than ``TOGETHER`` blocks. The filter is removed as soon as it has answered."""
 
     def send(columns: dict[str, list]) -> dict[str, list]:
         out = {"part": [], "row": [], "keys": []}
@@ -322,14 +332,15 @@ def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int,
         levels = []
         for coded in asked["keys"]:
             sent = _decoded(coded)
-            levels.append(model.levels_in(sent >> np.uint64(LOW_BITS), sent & LOW).astype(np.uint8).tobytes())
+            found = model.levels_in(sent >> np.uint64(LOW_BITS), sent & LOW).astype(np.uint8)
+            levels.append(zlib.compress(found.tobytes(), 1))
         return pd.DataFrame({"row": asked["row"].astype("int64"), "part": asked["part"].astype("int64"), "levels": levels})
 
     def finish(key: tuple, piece: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         ids, keys, unique, back = _unpacked(*(piece[c].iloc[0] for c in ("sizes", "tokens", "words")))
         _, _, order = _sent(keys, unique, blocks)
         levels = np.zeros(len(order), np.int64)
-        levels[order] = np.frombuffer(b"".join(got.sort_values("part")["levels"]), np.uint8)
+        levels[order] = np.frombuffer(b"".join(map(zlib.decompress, got.sort_values("part")["levels"])), np.uint8)
         counts = count_of(levels)
         scores = text_scores(ids, back, unique, counts[: len(keys)], counts[len(keys) :], total, different)
         return pd.DataFrame({"row": int(key[0]) + np.arange(len(ids)), "score": scores})
@@ -339,7 +350,11 @@ def routed_scores(pieces: DataFrame, made: DataFrame, blocks: int, hashes: int,
     levels = asked.groupBy("part").cogroup(own.groupBy("part")).applyInPandas(look_up, "row long, part long, levels binary")
     # Stored, so that the keys are gone from the disk before the pieces are moved, and these before the scores are.
     levels = stored(levels, "levels")
-    return pieces.groupBy("row").cogroup(levels.groupBy("row")).applyInPandas(finish, "row long, score double")
+    discard(made)
+    scores = pieces.groupBy("row").cogroup(levels.groupBy("row")).applyInPandas(finish, "row long, score double")
+    scores = stored(scores, "scores")
+    discard(levels)
+    return scores
 
 
 def score(
@@ -372,8 +387,11 @@ def score(
     # The same hash as word_keys: XXH64 of the bytes, seed 42.
     singles = counts.select(F.xxhash64("word").alias("key"), "c")
     made, blocks, hashes = build_filter(singles.unionByName(pairs), error, BASE)
+    discard(pairs)
     routed = blocks * BLOCK_BYTES > filter_bytes
     bits = None if routed else filled(made.collect(), 0, blocks)
+    if not routed:
+        discard(made)
     held = spark.sparkContext.broadcast({"bits": bits})
     scale = total + ALPHA * (different + 1)
 
@@ -397,7 +415,7 @@ def score(
         if routed:
             more = [None] * (len(ids) - 1)
             out["sizes"] = [np.array([len(t) for t in ids], "<u4").tobytes(), *more]
-            out["tokens"] = [zlib.compress(np.concatenate(ids).astype("<u4").tobytes(), 1), *more]
+            out["tokens"] = [_planes(np.concatenate(ids)), *more]
             out["words"] = [keys.tobytes(), *more]
             return out
         # All pairs of the batch, each different one probed once, if the filter has both its words.
@@ -416,7 +434,7 @@ def score(
     rated = stored(arrow_map(base, schema, rate).withColumn("row", F.monotonically_increasing_id()), "rated")
     if routed:
         pieces = rated.filter("sizes IS NOT NULL").select("row", "sizes", "tokens", "words")
-        scores = stored(routed_scores(pieces, made, blocks, hashes, total, different), "scores")
+        scores = routed_scores(pieces, made, blocks, hashes, total, different)
         rated = rated.drop("sizes", "tokens", "words")
     # The other words, each at most total / head_size times in the training text, or too long to broadcast.
     tail = rated.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")

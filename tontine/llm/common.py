@@ -55,6 +55,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once nothing reads these rows any more."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for file in df.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def remainder(id_col: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL for a missing id."""
     return F.crc32(F.col(id_col).cast("string")) % divisor
