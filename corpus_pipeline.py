@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm import exact_dedup, language_id, packing, pii, simhash
-from tontine.llm.common import read_documents, stored
+from tontine.llm.common import read_documents, small_batches, stored
 
 #: A text whose most likely language has a lower calibrated probability is in no language it knows.
 SURE = 0.4
@@ -28,6 +28,7 @@ ORACLE_SQL = None
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a text in one of the learned languages. Texts without a letter go."""
+    small_batches(spark)
     found = language_id.identify(docs)
     rejected = found.filter((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < SURE)).select("doc_id")
     return without(docs, rejected)
@@ -35,6 +36,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
+    small_batches(spark)
     found = exact_dedup.groups(docs)
     # An id that repeats with equal texts is both kept and dropped.
     both = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.min("kept").alias("all"))
@@ -43,6 +45,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each group of near copies."""
+    small_batches(spark)
     found = simhash.groups(docs)
     dropped = found.filter("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
     return without(docs, dropped.select("doc_id").distinct())
@@ -50,11 +53,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with personal data replaced by its kind and n_chars set anew."""
+    small_batches(spark)
     return pii.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every text with its token ids, sequence and place."""
+    small_batches(spark)
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True))
 
 

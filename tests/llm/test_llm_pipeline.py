@@ -5,11 +5,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from test_llm_methods import SF, linked, plain_brute, simhash_brute
 
 import corpus_pipeline
 from tontine.llm import pii, simhash
+from tontine.llm.common import SMALL_BATCHES
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +66,24 @@ def test_pipeline(spark, folder):
     found = got[["doc_id", "piece", "start", "length", "ids_crc32"]]
     assert set(map(tuple, found.itertuples(index=False))) == expected and len(found) == len(expected)
     assert got.groupby("sequence_id")["length"].sum().max() <= 2048
+
+
+def test_stages_pass_rows_in_small_batches(spark, tmp_path):
+    """However many long texts a task reads, its Python worker gets a few megabytes at once, from every stage on."""
+    path, texts = str(tmp_path / "long"), [(i, f"{i} " + "some words " * 400, "en") for i in range(3000)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").coalesce(1).write.parquet(path)
+    before = {key: spark.conf.get(key) for key in SMALL_BATCHES}
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes for b in batches])], ["n"])
+
+    def most():
+        return max(r.n for r in spark.read.parquet(path).mapInArrow(sizes, "n long").collect())
+
+    assert most() > 8 << 20
+    few = spark.createDataFrame(texts[:20], "doc_id long, text string, lang string")
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, few, "")
+        assert most() < 3 << 20
+        for key, value in before.items():
+            spark.conf.set(key, value)

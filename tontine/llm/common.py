@@ -94,6 +94,21 @@ def rows_of(batches: Iterator[pa.RecordBatch], most: int = AT_ONCE) -> Iterator[
             yield batch.slice(first, step).to_pydict()
 
 
+#: Session settings under which a task holds a few megabytes of rows at once, in the JVM and in its Python worker. Spark's
+#: own (10,000 rows or 64 MB to Python, 4,096 rows from Parquet) let whole texts fill tens of megabytes several times over:
+#: the reader's columns, the Arrow buffers that double as they grow, and the worker's copy. A longer row goes alone.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session read rows and pass them to Python in small batches. No result depends on the size."""
+    for key, value in SMALL_BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def arrow_fold(
     df: DataFrame, schema: str, function: Callable[[Iterator[dict[str, list]]], dict[str, list]], most: int = AT_ONCE
 ) -> DataFrame:
